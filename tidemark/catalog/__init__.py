@@ -1,0 +1,6 @@
+"""All named queries, grouped by what they are about; importing this package registers them."""
+
+from tidemark.catalog import relational  # noqa: F401
+from tidemark.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
