@@ -116,16 +116,23 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> D
 
 
 def ordered_lists(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], item: str, name: str, piece: int = BLOCK
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    item: str,
+    name: str,
+    piece: int = BLOCK,
+    copies: str | None = None,
 ) -> DataFrame:
     """The items of each key in order, as arrays of at most `piece` items.
 
     A key with up to `piece` items is one row with `piece_no` 0, the usual ordered array; a larger one continues in further
-    rows, so no task ever holds a whole group. Null items are kept.
+    rows, so no task ever holds a whole group. Null items are kept. `copies` names a column saying how often a row counts.
     """
     keys, order = list(keys), list(order)
     sort = order + ([item] if item not in order else [])
-    counted = df.groupBy(*keys, *sort).agg(F.count(F.lit(1)).alias("__n"))
+    weight = F.count(F.lit(1)) if copies is None else F.sum(copies)
+    counted = df.groupBy(*keys, *sort).agg(weight.alias("__n"))
     placed = running_total(counted, keys, sort, "__n", "__before")
     end = F.col("__before") + F.col("__n")
     number = F.explode(
