@@ -393,8 +393,11 @@ def diff_rows_without_key(t: Tables) -> DataFrame:
        ('c_tier', 'added', NULL, 'string')) AS v("column", change, old_type, new_type)"""
 )
 def diff_schemas(t: Tables) -> DataFrame:
+    lake = Lake(t.spark, t.scratch("lake"))
+    lake.publish({"customers": t.customer})
     after = t.customer.withColumn("c_nationkey", F.col("c_nationkey").cast("long")).drop("c_acctbal")
-    return diffs.diff_schema(t.customer, after.withColumn("c_tier", F.lit("gold")))
+    lake.publish({"customers": after.withColumn("c_tier", F.lit("gold"))})
+    return diffs.diff_schema(lake.read("customers", 1), lake.read("customers", 2))
 
 
 def ours_and_theirs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:

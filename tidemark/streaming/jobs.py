@@ -19,8 +19,16 @@ from tidemark.operators.quality import Check, run_suite
 def file_stream(
     spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet", files_per_batch: int | None = None
 ) -> DataFrame:
-    """Files as they arrive below `path`; without a `schema` that of the files already there is taken."""
+    """Files as they arrive below `path`; without a `schema` that of the files already there is taken.
+
+    A stream watches folders, so one single file is watched as its folder narrowed down to its name.
+    """
     reader = spark.readStream.schema(schema or spark.read.format(fmt).load(path).schema)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if "*" not in path and store.exists(place) and store.getFileStatus(place).isFile():
+        reader = reader.option("pathGlobFilter", place.getName())
+        path = place.getParent().toString()
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.format(fmt).load(path)
