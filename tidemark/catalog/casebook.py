@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import Tables, query
+from tidemark.functions.numbers import stable_mean
 from tidemark.functions.text import page_text
 from tidemark.functions.times import whole_minutes
 from tidemark.operators.joins import full_by_key
@@ -30,7 +31,7 @@ def trips_with_zones(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT n_name, s_name, ROUND(AVG(CAST(EPOCH(l_shipdate - o_orderdate) / 60 AS BIGINT)), 6) AS avg_waiting_time
+    """SELECT n_name, s_name, SUM(CAST(EPOCH(l_shipdate - o_orderdate) / 60 AS BIGINT)) / COUNT(*) AS avg_waiting_time
        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
        JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name, s_name ORDER BY avg_waiting_time DESC"""
 )
@@ -43,14 +44,14 @@ def waiting_time_by_zone(t: Tables) -> DataFrame:
     return (
         per_supplier.join(zones, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("n_name", "s_name")
-        .agg(F.round(F.sum("minutes") / F.sum("n"), 6).alias("avg_waiting_time"))
+        .agg((F.sum("minutes") / F.sum("n")).alias("avg_waiting_time"))
         .orderBy(F.desc("avg_waiting_time"))
     )
 
 
 @query(
     """SELECT SUBSTRING(CAST(ts AS VARCHAR), 1, 10) AS date, c_mktsegment AS customer_segment, COUNT(*) AS total_purchases,
-         ROUND(SUM(value), 2) AS total_revenue, ROUND(AVG(value), 6) AS avg_order_value
+         ROUND(SUM(value), 2) AS total_revenue, ROUND(SUM(value), 2) / COUNT(value) AS avg_order_value
        FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase' AND value > 0 GROUP BY 1, 2"""
 )
 def daily_segment_stats(t: Tables) -> DataFrame:
@@ -66,7 +67,7 @@ def daily_segment_stats(t: Tables) -> DataFrame:
         .agg(
             F.sum("n").alias("total_purchases"),
             F.round(F.sum("paid"), 2).alias("total_revenue"),
-            F.round(F.sum("paid") / F.sum("n"), 6).alias("avg_order_value"),
+            (F.round(F.sum("paid"), 2) / F.sum("n")).alias("avg_order_value"),
         )
     )
 
@@ -91,7 +92,7 @@ def gold(clean: DataFrame) -> DataFrame:
     hour = F.date_trunc("hour", "dateTime").cast("timestamp_ntz").alias("hour")
     return clean.groupBy(hour, "signal").agg(
         F.count("value").alias("reading_count"),
-        F.round(F.avg("value"), 6).alias("avg_value"),
+        stable_mean("value").alias("avg_value"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
     )
@@ -102,7 +103,7 @@ def gold(clean: DataFrame) -> DataFrame:
          TRY_CAST(CASE WHEN event_type = 'error' THEN 'err-' || value ELSE CAST(value AS VARCHAR) END AS DOUBLE) AS value
          FROM events), ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY signal, stamp ORDER BY value DESC) AS rn
          FROM parsed WHERE value IS NOT NULL)
-       SELECT DATE_TRUNC('hour', stamp) AS hour, signal, COUNT(value) AS reading_count, ROUND(AVG(value), 6) AS avg_value,
+       SELECT DATE_TRUNC('hour', stamp) AS hour, signal, COUNT(value) AS reading_count, ROUND(SUM(value), 2) / COUNT(value) AS avg_value,
          MIN(value) AS min_value, MAX(value) AS max_value FROM ranked WHERE rn = 1 GROUP BY ALL"""
 )
 def telemetry_bronze_to_gold(t: Tables) -> DataFrame:
@@ -111,7 +112,7 @@ def telemetry_bronze_to_gold(t: Tables) -> DataFrame:
 
 @query(
     """WITH spend AS (SELECT user_id AS account_id, CAST(ts AS DATE) AS date, ROUND(SUM(value), 2) AS total_amount,
-         COUNT(*) AS transaction_count, ROUND(AVG(value), 6) AS avg_amount FROM events WHERE event_type = 'purchase'
+         COUNT(*) AS transaction_count, ROUND(SUM(value), 2) / COUNT(value) AS avg_amount FROM events WHERE event_type = 'purchase'
          AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' GROUP BY ALL),
        activity AS (SELECT user_id AS account_id, CAST(ts AS DATE) AS date, COUNT(*) AS event_count,
          COUNT(*) FILTER (WHERE event_type = 'signup') AS login_count FROM events
@@ -126,7 +127,7 @@ def account_day_summary(t: Tables) -> DataFrame:
     settled = dated.filter("event_type = 'purchase'").groupBy("account_id", "date").agg(
         F.round(F.sum("value"), 2).alias("total_amount"),
         F.count(F.lit(1)).alias("transaction_count"),
-        F.round(F.avg("value"), 6).alias("avg_amount"),
+        stable_mean("value").alias("avg_amount"),
     )
     activity = dated.groupBy("account_id", "date").agg(
         F.count(F.lit(1)).alias("event_count"), F.count_if(F.col("event_type") == "signup").alias("login_count")
@@ -200,11 +201,11 @@ def rate_by_bin(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT p_type, p_brand, ROUND(AVG(p_retailprice), 6) AS avg_price, COUNT(*) AS n_parts FROM part GROUP BY ALL"""
+    """SELECT p_type, p_brand, ROUND(SUM(p_retailprice), 2) / COUNT(p_retailprice) AS avg_price, COUNT(*) AS n_parts FROM part GROUP BY ALL"""
 )
 def average_by_class(t: Tables) -> DataFrame:
     return t.part.groupBy("p_type", "p_brand").agg(
-        F.round(F.avg("p_retailprice").cast("double"), 6).alias("avg_price"), F.count(F.lit(1)).alias("n_parts")
+        stable_mean("p_retailprice").alias("avg_price"), F.count(F.lit(1)).alias("n_parts")
     )
 
 
@@ -236,7 +237,7 @@ def page_texts(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT REGEXP_EXTRACT(url, '^https?://([^/]+)', 1) AS company, lang, ROUND(AVG(amount), 6) AS mean_amount, COUNT(*) AS n
+    """SELECT REGEXP_EXTRACT(url, '^https?://([^/]+)', 1) AS company, lang, SUM(amount) / COUNT(amount) AS mean_amount, COUNT(*) AS n
        FROM (SELECT url, REGEXP_EXTRACT(html, '<html lang="([a-z]+)"', 1) AS lang,
          CAST(UNNEST(REGEXP_EXTRACT_ALL(html, 'ad (\\d+)', 1)) AS BIGINT) AS amount FROM pages) GROUP BY ALL"""
 )
@@ -247,5 +248,5 @@ def mean_extracted_amount(t: Tables) -> DataFrame:
         F.explode(F.regexp_extract_all("html", F.lit(r"ad (\d+)"), F.lit(1))).alias("amount"),
     )
     return amounts.groupBy("company", "lang").agg(
-        F.round(F.avg(F.col("amount").cast("long")), 6).alias("mean_amount"), F.count(F.lit(1)).alias("n")
+        stable_mean(F.col("amount").cast("long"), 0).alias("mean_amount"), F.count(F.lit(1)).alias("n")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import Tables, query
+from tidemark.functions.numbers import stable_mean
 from tidemark.functions.text import named_groups
 from tidemark.functions.times import spark_pattern, whole_minutes
 from tidemark.operators.joins import full_by_key
@@ -53,13 +54,13 @@ def scan_with_parameters(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT c_mktsegment, COUNT(*) AS n, ROUND(AVG(c_acctbal), 4) AS avg_balance FROM customer
+    """SELECT c_mktsegment, COUNT(*) AS n, ROUND(SUM(c_acctbal), 2) / COUNT(c_acctbal) AS avg_balance FROM customer
        JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 2 GROUP BY c_mktsegment"""
 )
 def sql_over_tables(t: Tables) -> DataFrame:
     return sql_query(
         t.spark,
-        """SELECT c_mktsegment, COUNT(*) AS n, ROUND(AVG(c_acctbal), 4) AS avg_balance
+        """SELECT c_mktsegment, COUNT(*) AS n, ROUND(SUM(c_acctbal), 2) / COUNT(c_acctbal) AS avg_balance
            FROM customer JOIN nation ON c_nationkey = n_nationkey
            WHERE n_regionkey = $region GROUP BY c_mktsegment""",
         tables={"customer": t.path("customer"), "nation": t.path("nation")},
@@ -316,12 +317,12 @@ def count_grouped(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT l_suppkey, ROUND(SUM(l_extendedprice * (1 - l_discount)), 4) AS net, ROUND(AVG(l_quantity), 6) AS avg_qty
+    """SELECT l_suppkey, ROUND(SUM(l_extendedprice * (1 - l_discount)), 4) AS net, SUM(l_quantity) / COUNT(l_quantity) AS avg_qty
        FROM lineitem GROUP BY l_suppkey"""
 )
 def sum_avg_expression(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_suppkey").agg(
-        F.round(F.sum(net()), 4).alias("net"), F.round(F.avg("l_quantity"), 6).alias("avg_qty")
+        F.round(F.sum(net()), 4).alias("net"), stable_mean("l_quantity", 0).alias("avg_qty")
     )
 
 
@@ -416,12 +417,12 @@ def distribution_of_counts(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT FLOOR(l_quantity / 10) * 10 AS bin, COUNT(*) AS n, ROUND(AVG(l_discount), 8) AS avg_discount
+    """SELECT FLOOR(l_quantity / 10) * 10 AS bin, COUNT(*) AS n, ROUND(SUM(l_discount), 2) / COUNT(l_discount) AS avg_discount
        FROM lineitem GROUP BY bin"""
 )
 def binned_mean(t: Tables) -> DataFrame:
     return t.lineitem.groupBy((F.floor(F.col("l_quantity") / 10) * 10.0).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("l_discount"), 8).alias("avg_discount")
+        F.count(F.lit(1)).alias("n"), stable_mean("l_discount").alias("avg_discount")
     )
 
 

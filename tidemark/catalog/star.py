@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import Tables, query
+from tidemark.functions.numbers import stable_mean
 from tidemark.sources.scan import query as sql_query
 
 
@@ -35,8 +36,8 @@ def nations(t: Tables) -> DataFrame:
     """SELECT l_returnflag, l_linestatus, SUM(l_quantity) AS sum_qty, ROUND(SUM(l_extendedprice), 2) AS sum_base_price,
          ROUND(SUM(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price,
          ROUND(SUM(l_extendedprice * (1 - l_discount) * (1 + l_tax)), 2) AS sum_charge,
-         ROUND(AVG(l_quantity), 8) AS avg_qty, ROUND(AVG(l_extendedprice), 6) AS avg_price,
-         ROUND(AVG(l_discount), 10) AS avg_disc, COUNT(*) AS count_order
+         SUM(l_quantity) / COUNT(l_quantity) AS avg_qty, ROUND(SUM(l_extendedprice), 2) / COUNT(l_extendedprice) AS avg_price,
+         ROUND(SUM(l_discount), 2) / COUNT(l_discount) AS avg_disc, COUNT(*) AS count_order
        FROM lineitem WHERE l_shipdate <= DATE '1998-09-02' GROUP BY l_returnflag, l_linestatus
        ORDER BY l_returnflag, l_linestatus"""
 )
@@ -49,9 +50,9 @@ def pricing_summary(t: Tables) -> DataFrame:
             F.round(F.sum(gross()), 2).alias("sum_base_price"),
             F.round(F.sum(net()), 2).alias("sum_disc_price"),
             F.round(F.sum(taxed()), 2).alias("sum_charge"),
-            F.round(F.avg("l_quantity"), 8).alias("avg_qty"),
-            F.round(F.avg(gross()), 6).alias("avg_price"),
-            F.round(F.avg("l_discount"), 10).alias("avg_disc"),
+            stable_mean("l_quantity", 0).alias("avg_qty"),
+            stable_mean(gross()).alias("avg_price"),
+            stable_mean("l_discount").alias("avg_disc"),
             F.count(F.lit(1)).alias("count_order"),
         )
         .orderBy("l_returnflag", "l_linestatus")
@@ -91,13 +92,13 @@ def order_total_drift(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT ROUND((SELECT AVG(o_totalprice) FROM orders), 6) AS average_order_value,
+    """SELECT (SELECT ROUND(SUM(o_totalprice), 2) / COUNT(o_totalprice) FROM orders) AS average_order_value,
          (SELECT COUNT(*) FROM orders) AS order_volume, SUM(l_quantity) AS quantity_shipped,
          ROUND(AVG(CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 10) AS return_rate FROM lineitem"""
 )
 def order_metrics(t: Tables) -> DataFrame:
     header = t.orders.agg(
-        F.round(F.avg("o_totalprice"), 6).alias("average_order_value"), F.count(F.lit(1)).alias("order_volume")
+        stable_mean("o_totalprice").alias("average_order_value"), F.count(F.lit(1)).alias("order_volume")
     ).withColumn("one", F.lit(1))
     lines = t.lineitem.agg(
         F.sum("l_quantity").alias("quantity_shipped"),

@@ -27,7 +27,7 @@ def stream_import(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT DATE_TRUNC('hour', ts) AS hour, event_type, COUNT(value) AS reading_count, ROUND(AVG(value), 6) AS avg_value,
+    """SELECT DATE_TRUNC('hour', ts) AS hour, event_type, COUNT(value) AS reading_count, ROUND(SUM(value), 2) / COUNT(value) AS avg_value,
          MIN(value) AS min_value, MAX(value) AS max_value FROM events GROUP BY ALL"""
 )
 def stream_hourly_stats(t: Tables) -> DataFrame:
@@ -39,7 +39,7 @@ def stream_hourly_stats(t: Tables) -> DataFrame:
         F.col("start").cast("timestamp_ntz").alias("hour"),
         "event_type",
         "reading_count",
-        F.round("avg_value", 6).alias("avg_value"),
+        (F.round("total_value", 2) / F.col("reading_count")).alias("avg_value"),
         "min_value",
         "max_value",
     )

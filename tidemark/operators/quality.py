@@ -36,6 +36,7 @@ class Check:
 
     `aggregates` are evaluated over the whole table. `verdict` and `observed` turn them, handed over as columns, into the
     outcome and the number behind it. `keep` is the row predicate that holds for a good row, where one row can be judged.
+    All are functions, so checks can be declared before there is a session.
     """
 
     name: str
@@ -43,7 +44,7 @@ class Check:
     aggregates: Callable[[DataFrame], list[Column]]
     verdict: Callable[..., Column]
     observed: Callable[..., Column]
-    keep: Column | None = None
+    keep: Callable[[], Column] | None = None
     unique: bool = False
     options: dict[str, Any] = field(default_factory=dict)
 
@@ -54,19 +55,22 @@ def _ignored(value: Column) -> Column:
 
 def equal_concatenation(target: str, columns: Sequence[str], separator: str = "") -> Check:
     """`target` equals the other columns joined by `separator`; a row with a null on either side is skipped."""
-    parts: list[Column] = []
-    for column in columns:
-        if parts:
-            parts.append(F.lit(separator))
-        parts.append(F.col(column).cast("string"))
-    same = F.concat(*parts) == F.col(target)
+
+    def same() -> Column:
+        parts: list[Column] = []
+        for column in columns:
+            if parts:
+                parts.append(F.lit(separator))
+            parts.append(F.col(column).cast("string"))
+        return F.concat(*parts) == F.col(target)
+
     return Check(
         "equal_concatenation",
         target,
-        lambda df: [F.bool_and(same), F.count_if(~same)],
+        lambda df: [F.bool_and(same()), F.count_if(~same())],
         lambda all_same, differing: F.coalesce(all_same, F.lit(False)),
         lambda all_same, differing: _ignored(differing),
-        keep=F.coalesce(same, F.lit(True)),
+        keep=lambda: F.coalesce(same(), F.lit(True)),
     )
 
 
@@ -97,7 +101,9 @@ def mean_smaller_or_equal_than(column: str, value: float) -> Check:
     return _mean("mean_smaller_or_equal_than", column, lambda mean: mean <= value)
 
 
-def _nulls(name: str, column: str, verdict: Callable[..., Column], keep: Column | None) -> Check:
+def _nulls(
+    name: str, column: str, verdict: Callable[..., Column], keep: Callable[[], Column] | None
+) -> Check:
     return Check(
         name,
         column,
@@ -113,11 +119,11 @@ def some_null(column: str) -> Check:
 
 
 def no_nulls(column: str) -> Check:
-    return _nulls("no_nulls", column, lambda nulls, rows: nulls == 0, F.col(column).isNotNull())
+    return _nulls("no_nulls", column, lambda nulls, rows: nulls == 0, lambda: F.col(column).isNotNull())
 
 
 def all_null(column: str) -> Check:
-    return _nulls("all_null", column, lambda nulls, rows: nulls == rows, F.col(column).isNull())
+    return _nulls("all_null", column, lambda nulls, rows: nulls == rows, lambda: F.col(column).isNull())
 
 
 def _distinct(name: str, column: str, verdict: Callable[[Column, Column], Column], unique: bool) -> Check:
@@ -150,13 +156,16 @@ def not_unique(column: str) -> Check:
 def accepted_values(column: str, values: Sequence[Any]) -> Check:
     """Every value is in the list; null is refused unless the list holds None."""
     listed = [value for value in values if value is not None]
-    accepted = F.coalesce(F.col(column).isin(listed), F.lit(None in values)) if listed else (
-        F.col(column).isNull() & F.lit(None in values)
-    )
+
+    def accepted() -> Column:
+        if not listed:
+            return F.col(column).isNull() & F.lit(None in values)
+        return F.coalesce(F.col(column).isin(listed), F.lit(None in values))
+
     return Check(
         "accepted_values",
         column,
-        lambda df: [F.bool_and(accepted), F.count_if(~accepted)],
+        lambda df: [F.bool_and(accepted()), F.count_if(~accepted())],
         lambda good, bad: F.coalesce(good, F.lit(False)),
         lambda good, bad: _ignored(bad),
         keep=accepted,
@@ -177,14 +186,17 @@ def fresh(column: str, hours: float, now: dt.datetime) -> Check:
 
 def positive(column: str) -> Check:
     """Strictly positive; null is a violation."""
-    bad = F.col(column).isNull() | (F.col(column) <= 0)
+
+    def bad() -> Column:
+        return F.col(column).isNull() | (F.col(column) <= 0)
+
     return Check(
         "positive",
         column,
-        lambda df: [F.count_if(bad)],
+        lambda df: [F.count_if(bad())],
         lambda count: count == 0,
         lambda count: _ignored(count),
-        keep=~bad,
+        keep=lambda: ~bad(),
     )
 
 
@@ -200,13 +212,16 @@ def column_type(column: str, expected: str) -> Check:
     )
 
 
-def satisfies(name: str, column: str, predicate: Column) -> Check:
-    """A user's own row predicate; a row where it is null is a violation."""
-    good = F.coalesce(predicate, F.lit(False))
+def satisfies(name: str, column: str, predicate: Column | str) -> Check:
+    """A user's own row predicate, as a column or SQL text; a row where it is null is a violation."""
+
+    def good() -> Column:
+        return F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
+
     return Check(
         name,
         column,
-        lambda df: [F.count_if(~good)],
+        lambda df: [F.count_if(~good())],
         lambda count: count == 0,
         lambda count: _ignored(count),
         keep=good,
@@ -249,7 +264,7 @@ def holds(df: DataFrame, check: Check) -> bool:
 def violations(df: DataFrame, check: Check) -> DataFrame:
     """The rows that break a check: judged one by one, or for uniqueness every row of a repeated value."""
     if check.keep is not None:
-        return df.filter(~check.keep)
+        return df.filter(~check.keep())
     if check.unique:
         repeated = (
             df.groupBy(F.col(check.column).alias("__value"))

@@ -10,6 +10,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.sqltext import where
+
 # The transforms a partition spec may name. `bucket` takes a count as well.
 TRANSFORMS = ("identity", "year", "month", "day", "hour", "bucket")
 
@@ -130,8 +132,11 @@ _TOKEN = re.compile(
 _KEYWORDS = {"and", "or", "in", "not", "true", "false", "null"}
 
 
-def check_overwrite_filter(text: str, partition_columns: Sequence[str]) -> str:
-    """Accept only comparisons, IN and NOT IN of partition columns with literals, joined by AND and OR."""
+def check_overwrite_filter(text: str, partition_columns: Sequence[str], df: DataFrame | None = None) -> str:
+    """Accept only comparisons, IN and NOT IN of partition columns with literals, joined by AND and OR.
+
+    With `df`, Spark also analyses the filter against its columns.
+    """
     if not partition_columns:
         raise ValueError("an overwrite filter needs partitioned_by")
     tokens, at = [], 0
@@ -156,8 +161,6 @@ def check_overwrite_filter(text: str, partition_columns: Sequence[str]) -> str:
             raise ValueError(f"overwrite filter: {token} is not supported")
         if token not in partition_columns:
             raise ValueError(f"overwrite filter: {token} is not a partition column")
-    try:
-        F.expr(f"({text})")
-    except Exception as error:
-        raise ValueError(f"overwrite filter does not parse: {text!r}") from error
+    if df is not None:
+        where(df, text)
     return text

@@ -3,33 +3,13 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
-from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions.params import markers
-
-_BLANK = re.compile(r"[\s\x00;]*")
-
-
-def check_filter(text: str) -> str:
-    """Return `text` if it is exactly one SQL expression, otherwise raise ValueError.
-
-    Spark's parser reads a dangling keyword as an alias (`x = 1 AND`), so the text must also parse inside parentheses;
-    parsing it bare as well refuses text that closes those parentheses itself.
-    """
-    if _BLANK.fullmatch(text) or "\x00" in text or ";" in text:
-        raise ValueError(f"Invalid SQL filter: {text!r}")
-    try:
-        F.expr(markers(text))
-        F.expr(f"({markers(text)})")
-    except (ParseException, AnalysisException) as error:
-        raise ValueError(f"Invalid SQL filter: {text!r}") from error
-    return text
+from tidemark.functions.sqltext import where
 
 
 def as_table(spark: SparkSession, source: str | DataFrame) -> DataFrame:
@@ -43,17 +23,7 @@ def as_table(spark: SparkSession, source: str | DataFrame) -> DataFrame:
 
 def filtered(df: DataFrame, text: str | None, params: Mapping[str, Any] | None = None) -> DataFrame:
     """Keep the rows where `text` is true; `$name` in it is bound as a typed parameter, never pasted."""
-    if text is None:
-        return df
-    check_filter(text)
-    if not params:
-        return df.filter(f"({text})")
-    view = f"filtered_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(view)
-    try:
-        return df.sparkSession.sql(f"SELECT * FROM {view} WHERE ({markers(text)})", args=bound(text, params))
-    finally:
-        df.sparkSession.catalog.dropTempView(view)
+    return df if text is None else where(df, text, bound(text, params or {}))
 
 
 def bound(text: str, params: Mapping[str, Any]) -> dict[str, Any]:

@@ -15,6 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.diffs import apply_changes, latest_changes
 from tidemark.operators.quality import Check, run_suite
 
+STATS = ["reading_count", "total_value", "avg_value", "min_value", "max_value"]
+
 
 def file_stream(
     spark: SparkSession, path: str, schema: str | None = None, fmt: str = "parquet", files_per_batch: int | None = None
@@ -65,7 +67,7 @@ def batch_folder(target: str, number: int) -> str:
 def windowed_stats(
     df: DataFrame, ts: str, key: str, value: str, target: str, checkpoint: str, width: str = "1 hour", late: str = "1 hour"
 ) -> DataFrame:
-    """Count, mean, minimum and maximum per key and window, rows later than `late` dropped.
+    """Count, sum, mean, minimum and maximum per key and window, rows later than `late` dropped.
 
     Emits updated windows per batch; the returned table keeps the newest state of each window. With nothing late it equals
     the batch aggregation.
@@ -75,17 +77,17 @@ def windowed_stats(
         .groupBy(F.window(ts, width).alias("window"), F.col(key))
         .agg(
             F.count(value).alias("reading_count"),
+            F.sum(value).alias("total_value"),
             F.avg(value).alias("avg_value"),
             F.min(value).alias("min_value"),
             F.max(value).alias("max_value"),
         )
-        .select(F.col("window.start").alias("start"), key, "reading_count", "avg_value", "min_value", "max_value")
+        .select(F.col("window.start").alias("start"), key, *STATS)
     )
     each_batch(stats, checkpoint, lambda b, n: b.write.mode("overwrite").parquet(batch_folder(target, n)), "update")
     spark = df.sparkSession
-    fields = ["reading_count", "avg_value", "min_value", "max_value"]
     history = spark.read.option("basePath", target).parquet(target)
-    return history.groupBy("start", key).agg(F.max_by(F.struct(*fields), "batch").alias("last")).select(
+    return history.groupBy("start", key).agg(F.max_by(F.struct(*STATS), "batch").alias("last")).select(
         "start", key, "last.*"
     )
 
@@ -138,7 +140,7 @@ def audit_stream(
             run_suite(held, checks).write.mode("overwrite").parquet(batch_folder(results, number))
             broken = F.lit(False)
             for check in row_checks:
-                broken = broken | ~check.keep
+                broken = broken | ~check.keep()
             held.filter(~broken).write.mode("overwrite").parquet(batch_folder(good, number))
             held.filter(broken).write.mode("overwrite").parquet(batch_folder(bad, number))
         finally:
