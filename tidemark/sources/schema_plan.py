@@ -12,6 +12,7 @@ from dataclasses import dataclass, field, replace
 from typing import Any
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -144,7 +145,11 @@ def plan_table(
     """Infer a table from the footers of all files; columns are united by name, in the order of the files."""
     fields = tuple(f"{f.name}({f.buckets}, {f.column})" if f.buckets else f"{f.name}({f.column})"
                    for f in (partition_spec(partitioned_by) if partitioned_by else []))
-    found = column_types(footers(_spread(list_files(spark, patterns)))).orderBy("position", "column").collect()
+    try:
+        files = _spread(list_files(spark, patterns))
+    except AnalysisException as error:
+        raise FileNotFoundError(f"no file under {patterns}") from error
+    found = column_types(footers(files)).orderBy("position", "column").collect()
     if not found:
         raise FileNotFoundError(f"no readable Parquet file under {patterns}")
     columns = tuple(
