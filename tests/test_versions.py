@@ -227,3 +227,41 @@ def test_many_parts_stay_shallow(spark, lake):
 def test_lakes_share_a_root(spark, folder, numbers):
     Lake(spark, f"{folder}/l").publish({"n": numbers})
     assert Lake(spark, f"{folder}/l/").read("n").count() == 10
+
+
+def test_compact(lake, numbers):
+    lake.publish({"n": numbers}, partitioned_by="part")
+    for part in (0, 1):
+        new = numbers.filter(f"part = {part} AND id > 5")
+        lake.publish({"n": new}, strategy="OVERWRITE_PARTITIONS", overwrite_filter=f"part = {part}")
+    before = ids(lake.read("n"))
+    lake.compact("n")
+    entry = lake.record()["tables"]["n"]
+    assert len(entry["parts"]) == 1 and entry["parts"][0]["deleted"] == [] and entry["partitioned_by"]
+    assert ids(lake.read("n")) == before == [2, 5, 6, 7, 8, 9]
+
+
+def test_appends_are_one_scan(spark, lake):
+    for i in range(4):
+        lake.publish({"t": spark.range(i, i + 1)}, strategy="APPEND", partitioned_by="id")
+    df = lake.read("t", where=[("id", "=", 2)])
+    assert ids(df) == [2]
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+@pytest.mark.parametrize(
+    "ddl, values",
+    [
+        ("timestamp_ntz", [dt.datetime(2024, 1, 1, 3, 4, 5), dt.datetime(2024, 5, 1)]),
+        ("date", [dt.date(2024, 1, 1), dt.date(1969, 12, 31)]),
+        ("boolean", [True, False]),
+        ("bigint", [2**40, -1]),
+        ("double", [0.1, 1e300]),
+        ("string", ["a=b/c", " 7"]),
+    ],
+)
+def test_partition_values_survive(spark, lake, ddl, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*values, None])], f"id bigint, v {ddl}")
+    lake.publish({"t": df}, partitioned_by="v")
+    assert {r["id"]: r["v"] for r in lake.read("t").collect()} == dict(enumerate([*values, None]))
+    assert [ids(lake.read("t", where=[("v", "=", v)])) for v in values] == [[0], [1]]

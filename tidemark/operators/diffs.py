@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import match_keys
+from tidemark.session import written
 
 
 class DuplicateKeys(ValueError):
@@ -92,7 +93,7 @@ def merge_rows(
 
     A key both sides changed since `base` to different rows is a conflict, with both changes named; the same change on both
     sides is not. A key changed on one side takes that side. Conflicting keys are left out of `merged`, which should be
-    published only when `conflicts` is empty.
+    published only when `conflicts` is empty. The comparison runs at once; a key repeated on one side raises.
     """
     values = [name for name in base.columns if name not in keys]
     sides = [base, ours, theirs]
@@ -138,13 +139,16 @@ def merge_rows(
             .otherwise(F.lit("changed"))
         )
 
-    conflicts = decided.filter("take = 'conflict'").select(
-        *keys, kind("o").alias("ours_change"), kind("t").alias("theirs_change")
+    # Only the keys that do not simply stay ours are written down, once, and serve all three results below.
+    foreign = written(
+        decided.filter("take <> 'ours'").select(
+            *keys, "take", kind("o").alias("ours_change"), kind("t").alias("theirs_change")
+        ),
+        "merge",
     )
-    # Rows outside these two small sets stay where they are: ours is only anti-joined against what differs.
-    foreign = decided.filter("take <> 'ours'").select(*keys)
-    taken = decided.filter("take = 'theirs'").select(*keys)
-    merged = match_keys(ours, foreign, keys, "left_anti").unionByName(
+    conflicts = foreign.filter("take = 'conflict'").drop("take")
+    taken = foreign.filter("take = 'theirs'").select(*keys)
+    merged = match_keys(ours, foreign.select(*keys), keys, "left_anti").unionByName(
         match_keys(theirs, taken, keys, "left_semi")
     )
     return merged, conflicts

@@ -22,16 +22,29 @@ CARRIED = "__carried"
 BLOCK = 100_000
 
 
+def spread_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """`df` range-partitioned by keys and order, written down with the number of its partition.
+
+    Written, because the ranges are sampled: computed a second time they could fall differently.
+    """
+    width = shuffle_width(df.sparkSession)
+    ranged = df.repartitionByRange(width, *keys, *order).withColumn(PART, F.spark_partition_id())
+    return written(ranged, "ranged")
+
+
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, before: str) -> DataFrame:
     """Add `before`: the sum of `amount` over the rows of the same keys that sort earlier.
 
     (keys, order) should be unique; collapse copies first and let `amount` carry their count.
     """
+    return total_before(spread_in_order(df, keys, order), keys, order, amount, before)
+
+
+def total_before(
+    ranged: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, before: str
+) -> DataFrame:
+    """The running total over rows that `spread_in_order` has laid out."""
     keys, order = list(keys), list(order)
-    width = shuffle_width(df.sparkSession)
-    ranged = written(
-        df.repartitionByRange(width, *keys, *order).withColumn(PART, F.spark_partition_id()), "ranged"
-    )
 
     # The keys at the borders of the range partitions: at most two per partition, whatever the data.
     if keys:
@@ -56,7 +69,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], amou
     local = ranged.withColumn(LOCAL, F.sum(amount).over(inside))
     joined = match_keys(local, carried, [PART, *keys], "left", small=True)
     total = F.coalesce(LOCAL, F.lit(0)) + F.coalesce(CARRIED, F.lit(0))
-    return joined.select(*df.columns, total.alias(before))
+    return joined.select(*[name for name in ranged.columns if name != PART], total.alias(before))
 
 
 def number_rows(df: DataFrame, name: str = "row_number") -> DataFrame:
@@ -102,8 +115,9 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> D
     counted = (
         df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     )
-    placed = running_total(counted, keys, [value], "__n", "__before")
-    sizes = placed.groupBy(*keys).agg(F.sum("__n").alias("__size"))
+    ranged = spread_in_order(counted, keys, [value])
+    placed = total_before(ranged, keys, [value], "__n", "__before")
+    sizes = ranged.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     joined = match_keys(placed, sizes, keys)
     low = F.floor((F.col("__size") + 1) / 2)
     high = F.floor((F.col("__size") + 2) / 2)

@@ -92,12 +92,13 @@ def lineage_problems(fields: Sequence[Field], inputs: dict[str, DataFrame]) -> l
     return problems
 
 
-def null_counts(df: DataFrame, fields: Sequence[Field]) -> DataFrame | None:
+def null_problems(df: DataFrame, fields: Sequence[Field]) -> list[str]:
     """Nulls in the fields that must have none: one aggregation for all of them."""
     required = [field.name for field in fields if not field.nullable and field.name in df.columns]
     if not required:
-        return None
-    return df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in required])
+        return []
+    counts = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in required]).first().asDict()
+    return [f"{name} has {count} nulls" for name, count in counts.items() if count]
 
 
 def check_contract(
@@ -107,11 +108,7 @@ def check_contract(
     problems = schema_problems(df, fields)
     if inputs is not None:
         problems += lineage_problems(fields, inputs)
-    counts = null_counts(df, fields) if read else None
-    if counts is not None:
-        row = counts.first().asDict()
-        problems += [f"{name} has {count} nulls" for name, count in row.items() if count]
-    return problems
+    return problems + null_problems(df, fields) if read else problems
 
 
 def project(df: DataFrame, fields: Sequence[Field]) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import shuffle_width, written
+
 # The skip-gram setting.
 VECTOR_SIZE, WINDOW_SIZE, MIN_COUNT = 48, 5, 2
 # Word2Vec keeps vocabulary x size floats in one array on the driver and in every task.
@@ -25,7 +27,8 @@ def skip_gram(
     The model holds one vector per distinct item, so the size of the vocabulary is counted first and a catalogue that would
     not fit is refused.
     """
-    words = lists.select(F.transform(F.col(items), lambda x: x.cast("string")).alias("items"))
+    # training passes over the lists several times, so they are written once
+    words = written(lists.select(F.transform(F.col(items), lambda x: x.cast("string")).alias("items")), "lists")
     vocabulary = (
         words.select(F.explode("items").alias("item")).groupBy("item").count().filter(F.col("count") >= MIN_COUNT).count()
     )
@@ -35,7 +38,7 @@ def skip_gram(
         vectorSize=VECTOR_SIZE,
         windowSize=WINDOW_SIZE,
         minCount=MIN_COUNT,
-        numPartitions=partitions or min(8, lists.sparkSession.sparkContext.defaultParallelism),
+        numPartitions=partitions or shuffle_width(lists.sparkSession),
         maxIter=iterations,
         seed=seed,
         inputCol="items",
@@ -55,6 +58,8 @@ def forecast(series: DataFrame, keys: Sequence[str], periods: int = SERIES_END)
     Least squares and the weekday means are grouped aggregates, so millions of series are one job and no series is ever
     gathered in one place. A series needs two days to have a trend; with one it stays level.
     """
+    if not keys:  # one series: a constant key keeps the joins below ordinary
+        return forecast(series.withColumn("__series", F.lit(1)), ["__series"], periods).drop("__series")
     keys = list(keys)
     epoch = F.lit("1970-01-01").cast("date")
     points = series.select(*keys, "ds", F.datediff("ds", epoch).alias("t"), F.col("y").cast("double").alias("y"))
@@ -68,10 +73,7 @@ def forecast(series: DataFrame, keys: Sequence[str], periods: int = SERIES_END)
     def line(t: Column) -> Column:
         return F.col("mean_y") + F.col("slope") * (t - F.col("mean_t"))
 
-    def by(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        return left.join(right, on) if on else left.join(F.broadcast(right))
-
-    rest = by(points, trend, keys).withColumn("rest", F.col("y") - line(F.col("t"))).withColumn(
+    rest = points.join(trend, keys).withColumn("rest", F.col("y") - line(F.col("t"))).withColumn(
         "weekday", F.dayofweek("ds")
     )
     effect = rest.groupBy(*keys, "weekday").agg(F.avg("rest").alias("effect"))
@@ -85,7 +87,7 @@ def forecast(series: DataFrame, keys: Sequence[str], periods: int = SERIES_END)
         *keys, F.explode(F.sequence(F.date_add("last", 1), F.date_add("last", periods))).alias("ds")
     )
     days = points.select(*keys, "ds").unionByName(ahead)
-    ready = by(by(days, trend, keys), noise, keys).withColumn("weekday", F.dayofweek("ds"))
+    ready = days.join(trend, keys).join(noise, keys).withColumn("weekday", F.dayofweek("ds"))
     ready = ready.join(effect, [*keys, "weekday"], "left")
     value = line(F.datediff("ds", epoch)) + F.coalesce("effect", F.lit(0.0))
     margin = F.greatest(F.coalesce("spread", F.lit(0.0)), F.lit(0.0)) * WIDTH

@@ -206,6 +206,12 @@ def run(
             return df
         return scan(spark, df, columns=parent.columns)
 
+    def check_nulls(model: Model, df: DataFrame) -> list[str]:
+        found = contracts.null_problems(df, model.schema) if model.schema is not None else []
+        if found:
+            fail(f"{model.name}: {'; '.join(found)}")
+        return found
+
     def check_expectations(on: str, df: DataFrame) -> None:
         for expectation in [e for e in expectations if e.on == on]:
             target = df if expectation.columns is None else df.select(*expectation.columns)
@@ -238,8 +244,7 @@ def run(
             problems = contracts.column_problems(df, model.columns)
             if model.schema is not None:
                 named = {parent.name: inputs[key] for key, parent in model.inputs.items()}
-                named.update({n: built.get(n, sources.get(n)) for n in model.parents(set(built))})
-                problems += contracts.check_contract(df, model.schema, named if model.inputs else None, read=not dry)
+                problems += contracts.check_contract(df, model.schema, named or None, read=False)
             if problems:
                 fail(f"{model.name}: {'; '.join(problems)}")
             if readers.get(model.name, 0) > 1 and cache:
@@ -260,11 +265,13 @@ def run(
                 )
                 count = seen.get["rows"]
                 staged[model.name] = entry
-                written = {**entry, "parts": entry["parts"][-1:]}
-                check_expectations(model.name, lake._open(written))  # audit what was written, not the plan again
+                made = lake._open({**entry, "parts": entry["parts"][-1:]})  # audited as written, not planned again
+                problems += check_nulls(model, made)
+                check_expectations(model.name, made)
                 if not transaction:
                     based_on = version = lake.commit_staged({model.name: entry}, based_on, message or f"run {model.name}")
             else:
+                problems += check_nulls(model, df)
                 if dry and not any(model.name in other.parents(produced) for other in plan):
                     dry_run(df)
                 check_expectations(model.name, df)
