@@ -99,12 +99,13 @@ def order_total_drift(t: Tables) -> DataFrame:
 def order_metrics(t: Tables) -> DataFrame:
     header = t.orders.agg(
         stable_mean("o_totalprice").alias("average_order_value"), F.count(F.lit(1)).alias("order_volume")
-    ).withColumn("one", F.lit(1))
+    )
     lines = t.lineitem.agg(
         F.sum("l_quantity").alias("quantity_shipped"),
         F.round(F.avg((F.col("l_returnflag") == "R").cast("double")), 10).alias("return_rate"),
-    ).withColumn("one", F.lit(1))
-    return header.join(lines, "one").drop("one")
+    )
+    both = header.unionByName(lines, allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in both.columns])
 
 
 @query(

@@ -48,7 +48,3 @@ def spark_pattern(strptime: str) -> str:
 def whole_minutes(start: Column, end: Column) -> Column:
     """Whole minutes from `start` to `end`, cut toward zero."""
     return F.timestamp_diff("MINUTE", start, end)
-
-
-def hour_of(ts: Column) -> Column:
-    return F.date_trunc("hour", ts)

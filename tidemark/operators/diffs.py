@@ -16,10 +16,6 @@ from tidemark.operators.joins import match_keys
 from tidemark.session import written
 
 
-class DuplicateKeys(ValueError):
-    """A keyed comparison met a key twice on one side."""
-
-
 def row_hash(columns: Sequence[str]) -> Column:
     """64-bit hash of the columns in which a null differs from every value and from a shifted neighbour."""
     return F.xxhash64(*[part for name in columns for part in (F.col(name), F.col(name).isNull())])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +68,3 @@ def profile(df: DataFrame) -> list[tuple[str, str, bool]]:
 
 def scratch_export(df: DataFrame, fmt: str, limit: int | None = None) -> str:
     return export(df, scratch_path(df.sparkSession, f"export-{fmt}"), fmt, limit)
-
-
-def rows_from_json_text(text: str) -> list[dict]:
-    return json.loads(text)

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.quality import Check, ExpectationFailed, run_suite
 from tidemark.plans.versions import Lake, UnknownTable
@@ -109,7 +108,3 @@ def import_files(
             raise ExpectationFailed(", ".join(f"{row['check']}({row['column']})" for row in failed))
     lake.commit_staged(staged, based_on, f"import into {name}")
     return status
-
-
-def typed_columns(schema: T.StructType) -> list[tuple[str, str]]:
-    return [(f.name, f.dataType.simpleString()) for f in schema]
