@@ -265,3 +265,16 @@ def test_partition_values_survive(spark, lake, ddl, values):
     lake.publish({"t": df}, partitioned_by="v")
     assert {r["id"]: r["v"] for r in lake.read("t").collect()} == dict(enumerate([*values, None]))
     assert [ids(lake.read("t", where=[("v", "=", v)])) for v in values] == [[0], [1]]
+
+
+def test_sql_and_scans_at_a_version(lake, numbers):
+    lake.publish({"n": numbers, "raw.n": numbers.limit(4)})
+    lake.publish({"n": numbers.limit(1)})
+    assert lake.query("SELECT COUNT(*) AS c FROM n").first()["c"] == 1
+    assert lake.query("SELECT COUNT(*) AS c FROM n", at=1).first()["c"] == 10
+    assert lake.query("SELECT COUNT(*) AS c FROM n", namespace="raw").first()["c"] == 4
+    joined = lake.query("SELECT a.id FROM n a JOIN raw__n b ON a.id = b.id WHERE a.id < $top", at=1, params={"top": 3})
+    assert ids(joined) == [0, 1, 2]
+    assert lake.query("SELECT * FROM n", at=1, max_rows=2).count() == 2
+    found = lake.scan("n", at=1, columns=["id"], filters="part = $p", params={"p": 0}, limit=3)
+    assert found.columns == ["id"] and found.count() == 3

@@ -13,8 +13,7 @@ from pathlib import Path
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.params import Parameter, resolve
 from tidemark.operators.quality import Check, ExpectationFailed, run_expectation, run_suite
@@ -162,7 +161,8 @@ def run(
 ) -> Run:
     """Build every model, check it, and publish what is to be kept.
 
-    Models are composed lazily; a parent with two or more readers is persisted unless `cache` is off. Broken contracts and
+    Models are composed lazily. A model that is kept is written once and read back by the models after it; one that is not, but
+    has two or more readers, is persisted unless `cache` is off. Broken contracts and
     failing expectations warn, or stop the run before anything is published when `strict`. With `transaction` all outputs
     appear in one version.
     """
@@ -177,6 +177,8 @@ def run(
     for model in plan:
         for parent in model.parents(produced):
             readers[parent] = readers.get(parent, 0) + 1
+    for expectation in expectations:
+        readers[expectation.on] = readers.get(expectation.on, 0) + 1
 
     built: dict[str, DataFrame] = {}
     held: list[DataFrame] = []
@@ -247,34 +249,33 @@ def run(
                 problems += contracts.check_contract(df, model.schema, named or None, read=False)
             if problems:
                 fail(f"{model.name}: {'; '.join(problems)}")
-            if readers.get(model.name, 0) > 1 and cache:
-                df = df.persist(StorageLevel.MEMORY_AND_DISK)
-                held.append(df)
-            built[model.name] = df
             count = None
             if model.strategy.upper() != "NONE" and not dry and lake is not None:
-                seen = Observation(f"{model.name}-rows")
-                observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
                 entry = lake.stage(
                     model.name,
-                    observed,
+                    df,
                     model.strategy.upper(),
                     model.partitioned_by,
                     model.overwrite_filter,
                     tables={**record, **staged},
                 )
-                count = seen.get["rows"]
                 staged[model.name] = entry
-                made = lake._open({**entry, "parts": entry["parts"][-1:]})  # audited as written, not planned again
-                problems += check_nulls(model, made)
-                check_expectations(model.name, made)
+                # from here on the rows as written: audited, counted (from file footers) and read by the next models
+                df = lake._open({**entry, "parts": entry["parts"][-1:]})
+                count = df.count()
+                problems += check_nulls(model, df)
+                check_expectations(model.name, df)
                 if not transaction:
                     based_on = version = lake.commit_staged({model.name: entry}, based_on, message or f"run {model.name}")
             else:
+                if readers.get(model.name, 0) > 1 and cache:
+                    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+                    held.append(df)
                 problems += check_nulls(model, df)
                 if dry and not any(model.name in other.parents(produced) for other in plan):
                     dry_run(df)
                 check_expectations(model.name, df)
+            built[model.name] = df
             shown = preview(df, preview_mode, key=df.columns if preview_mode == "tail" else None)
             if shown is not None:
                 previews[model.name] = shown
