@@ -9,7 +9,7 @@ from tidemark.operators import quality as q
 from tidemark.plans.versions import UnknownTable, VersionConflict
 from tidemark.sources import importer
 from tidemark.sources.files import list_files, read_files, read_prefix
-from tidemark.sources.schema_plan import SchemaConflict, footers, plan_table, read_planned, schema_groups
+from tidemark.sources.schema_plan import SchemaConflict, file_loads, footers, plan_table, read_files_as
 
 
 def store(folder, name, **columns):
@@ -52,15 +52,26 @@ def test_resolved_values(spark, folder):
     store(folder, "a", id=pa.array([1], pa.int32()), at=pa.array(["20240102030405"]))
     store(folder, "b", id=pa.array([2], pa.int64()), at=pa.array([None], pa.string()))
     files = f"{folder}/*.parquet"
-    groups = schema_groups(footers(list_files(spark, files)))
     wanted = {"id": "long", "at": {"datatype": "timestamp", "unit": "us", "parse_format": "%Y%m%d%H%M%S"}}
-    rows = read_planned(spark, groups, plan_table(spark, files).resolve(wanted)).orderBy("id").collect()
+    rows = read_files_as(spark, files, plan_table(spark, files).resolve(wanted)).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [(1, dt.datetime(2024, 1, 2, 3, 4, 5)), (2, None)]
     zoned = {**wanted, "at": {**wanted["at"], "timezone": "UTC"}}
-    schema = read_planned(spark, groups, plan_table(spark, files).resolve(zoned)).schema
+    schema = read_files_as(spark, files, plan_table(spark, files).resolve(zoned)).schema
     assert schema["at"].dataType.simpleString() == "timestamp"
 
 
+def test_loads_are_bounded(spark, folder):
+    for i in range(5):
+        store(folder, f"a{i}", id=[i])
+    store(folder, "b", id=["x"])
+    footer = footers(list_files(spark, f"{folder}/*.parquet"))
+    loads = list(file_loads(footer, files_per_load=2))
+    assert sorted((types["id"], len(paths)) for types, paths in loads) == [
+        ("bigint", 1), ("bigint", 2), ("bigint", 2), ("string", 1),
+    ]
+    assert len({path for _, paths in loads for path in paths}) == 6
+
+
 def test_nanoseconds_need_consent(spark, folder):
     stamp = pa.array([1_700_000_000_123_456_789], pa.timestamp("ns"))
     pq.write_table(pa.table({"at": stamp}), f"{folder}/n.parquet", version="2.6")

@@ -278,3 +278,12 @@ def test_sql_and_scans_at_a_version(lake, numbers):
     assert lake.query("SELECT * FROM n", at=1, max_rows=2).count() == 2
     found = lake.scan("n", at=1, columns=["id"], filters="part = $p", params={"p": 0}, limit=3)
     assert found.columns == ["id"] and found.count() == 3
+
+
+def test_audit_of_new_rows_only(lake, numbers):
+    lake.publish({"n": numbers})
+    checks = {"n": [q.all_unique("id")]}
+    with pytest.raises(q.ExpectationFailed):
+        lake.publish({"n": numbers}, strategy="APPEND", checks=checks)
+    lake.publish({"n": numbers}, strategy="APPEND", checks=checks, audit_new_only=True)
+    assert lake.read("n").count() == 20

@@ -109,8 +109,7 @@ def read_resolved_conflict(t: Tables) -> DataFrame:
             "shipped": {"datatype": "timestamp", "unit": "us", "parse_format": "%Y%m%d%H%M%S"},
         }
     )
-    groups = schema_plan.schema_groups(schema_plan.footers(list_files(t.spark, files)))
-    rows = schema_plan.read_planned(t.spark, groups, plan)
+    rows = schema_plan.read_files_as(t.spark, files, plan)
     return rows.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("l_partkey").alias("part_sum"),
@@ -137,8 +136,7 @@ def create_refuses_conflict(t: Tables) -> DataFrame:
         refused = True
     plan = schema_plan.plan_table(t.spark, files)
     decided = plan.resolve({"l_partkey": "long"})
-    groups = schema_plan.schema_groups(schema_plan.footers(list_files(t.spark, files)))
-    return schema_plan.read_planned(t.spark, groups, decided).agg(
+    return schema_plan.read_files_as(t.spark, files, decided).agg(
         F.lit(refused).alias("refused"),
         F.array(*[F.lit(c) for c in plan.conflicts]).alias("conflicts"),
         F.count(F.lit(1)).alias("readable_rows"),
@@ -339,6 +337,15 @@ def read_as_of(t: Tables) -> DataFrame:
     return counted[0].union(counted[1]).union(counted[2]).union(counted[3])
 
 
+@query("SELECT o_orderstatus, COUNT(*) AS n FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 1000 GROUP BY ALL")
+def sql_at_a_version(t: Tables) -> DataFrame:
+    lake = Lake(t.spark, t.scratch("lake"))
+    lake.publish({"sales.orders": short_orders(t).filter("o_orderstatus <> 'P'")})
+    lake.publish({"sales.orders": short_orders(t).limit(1)})
+    sql = "SELECT o_orderstatus, COUNT(*) AS n FROM orders WHERE o_totalprice > $least GROUP BY ALL"
+    return lake.query(sql, at=1, namespace="sales", params={"least": 1000})
+
+
 @query("""SELECT * FROM (VALUES ('suppliers', 'added'), ('customers', 'removed')) AS v("table", change)""")
 def diff_table_sets(t: Tables) -> DataFrame:
     lake = Lake(t.spark, t.scratch("lake"))

@@ -15,10 +15,10 @@ from tidemark.sources.schema_plan import (
     PlannedColumn,
     SchemaConflict,
     TablePlan,
+    file_loads,
     footers,
     plan_table,
     read_planned,
-    schema_groups,
 )
 
 LEDGER = "path string, length bigint, imported timestamp"
@@ -87,22 +87,26 @@ def import_files(
     if plan is None:
         schema = lake.read(name).schema
         plan = TablePlan(tuple(PlannedColumn(f.name, (), f.dataType.simpleString()) for f in schema))
-    rows = read_planned(spark, schema_groups(footer), plan, best_effort)
     status = footer.groupBy("path").agg(
         F.when(F.max("error").isNull(), F.lit("imported")).otherwise(F.lit("failed")).alias("status"),
         F.max("error").alias("error"),
     )
-    if rows is None:
+    entry = tables[name]
+    added = 0
+    for rows in read_planned(spark, file_loads(footer), plan, best_effort):
+        entry = lake.stage(name, rows, "APPEND", tables={name: entry})
+        added += 1
+    if not added:
         return status
     done = footer.filter(F.col("error").isNull()).groupBy("path").agg(F.max("length").alias("length"))
     staged = {
-        name: lake.stage(name, rows, "APPEND", tables=tables),
+        name: entry,
         ledger: lake.stage(
             ledger, done.select("path", "length", F.current_timestamp().alias("imported")), "APPEND", tables=tables
         ),
     }
     if checks:
-        fresh = {**staged[name], "parts": staged[name]["parts"][-1:]}
+        fresh = {**entry, "parts": entry["parts"][-added:]}
         failed = run_suite(lake._open(fresh), list(checks)).filter("NOT passed").collect()
         if failed:
             raise ExpectationFailed(", ".join(f"{row['check']}({row['column']})" for row in failed))

@@ -7,8 +7,9 @@ resolved by hand.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import Any
 
 import pandas as pd
@@ -23,12 +24,19 @@ from tidemark.sources.files import list_files
 
 FOOTER = "path string, length bigint, position int, column string, type string, error string"
 NANOS = "timestamp_ns"
+FILES_PER_LOAD = 10_000
 
 
 class SchemaConflict(ValueError):
     """The files disagree on a column's type and nobody has decided yet."""
 
 
+def _slices(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for start in range(0, len(batch), size):
+            yield batch.iloc[start : start + size]
+
+
 def footers(files: DataFrame) -> DataFrame:
     """One row per file and column with its type; an unreadable file is one row with `error` set."""
 
@@ -43,7 +51,7 @@ def footers(files: DataFrame) -> DataFrame:
                 return NANOS
             return from_arrow_type(kind, prefer_timestamp_ntz=True).simpleString()
 
-        for batch in batches:
+        for batch in _slices(batches, 256):
             found = []
             for path, length in zip(batch["path"], batch["length"]):
                 try:
@@ -163,11 +171,26 @@ def _spread(files: DataFrame) -> DataFrame:
     return files.repartition(files.sparkSession.sparkContext.defaultParallelism, "path")
 
 
-def schema_groups(footer: DataFrame) -> DataFrame:
-    """Readable files by physical schema: `shape` (array of column and type) and `paths`."""
+Shape = dict[str, str]
+
+
+def file_loads(footer: DataFrame, files_per_load: int = FILES_PER_LOAD) -> Iterator[tuple[Shape, list[str]]]:
+    """Readable files of one physical schema at a time, at most `files_per_load`: (types by column, paths).
+
+    The driver holds the paths of one load, which it needs to plan the scan, and never those of the whole import.
+    """
     shape = F.array_sort(F.collect_list(F.struct("position", "column", "type"))).alias("shape")
     per_file = footer.filter(F.col("error").isNull()).groupBy("path").agg(shape)
-    return per_file.groupBy("shape").agg(F.collect_list("path").alias("paths"))
+    ordered = per_file.withColumn("key", F.to_json("shape")).orderBy("key", "path")
+    key, types, paths = None, {}, []
+    for row in ordered.toLocalIterator():
+        if paths and (row["key"] != key or len(paths) >= files_per_load):
+            yield types, paths
+            paths = []
+        key, types = row["key"], {cell["column"]: cell["type"] for cell in row["shape"]}
+        paths.append(row["path"])
+    if paths:
+        yield types, paths
 
 
 def _as(column: PlannedColumn, stored: str, target: T.DataType) -> Column:
@@ -184,17 +207,15 @@ def _as(column: PlannedColumn, stored: str, target: T.DataType) -> Column:
 
 
 def read_planned(
-    spark: SparkSession, groups: DataFrame, plan: TablePlan, best_effort: bool = False
-) -> DataFrame | None:
-    """Read files that differ in their schemas as one table: each group with its own schema, cast, then united.
+    spark: SparkSession, loads: Iterable[tuple[Shape, list[str]]], plan: TablePlan, best_effort: bool = False
+) -> Iterator[DataFrame]:
+    """The loads as frames of the planned table: each read with its own schema, then cast.
 
     A column the plan lacks is an error unless `best_effort`; a planned column a file lacks is null.
     """
     schema = plan.schema()
     planned = {column.name: column for column in plan.columns}
-    frames = []
-    for group in groups.collect():
-        stored = {cell["column"]: cell["type"] for cell in group["shape"]}
+    for stored, paths in loads:
         extra = [name for name in stored if name not in planned]
         if extra and not best_effort:
             raise SchemaConflict(f"the table has no column {', '.join(extra)}; use best_effort to ignore them")
@@ -205,23 +226,19 @@ def read_planned(
                 for name in used
             ]
         )
-        df = spark.read.schema(physical).parquet(*group["paths"])
-        frames.append(
-            df.select(
-                *[
-                    (
-                        _as(planned[f.name], stored[f.name], f.dataType)
-                        if f.name in stored
-                        else F.lit(None).cast(f.dataType)
-                    ).alias(f.name)
-                    for f in schema
-                ]
-            )
-        )
-    if not frames:
-        return None
-    united = frames[0]
-    for df in frames[1:]:
-        united = united.unionByName(df)
-    return united
+        df = spark.read.schema(physical).parquet(*paths)
+        columns = [
+            _as(planned[f.name], stored[f.name], f.dataType) if f.name in stored else F.lit(None).cast(f.dataType)
+            for f in schema
+        ]
+        yield df.select(*[column.alias(f.name) for column, f in zip(columns, schema)])
+
+
+def read_files_as(
+    spark: SparkSession, patterns: str | Sequence[str], plan: TablePlan, best_effort: bool = False
+) -> DataFrame:
+    """All files below the patterns as one table of the planned schema."""
+    footer = footers(_spread(list_files(spark, patterns)))
+    empty = spark.createDataFrame([], plan.schema())
+    return reduce(DataFrame.unionByName, read_planned(spark, file_loads(footer), plan, best_effort), empty)
 
