@@ -31,5 +31,11 @@ def test_entry(spark):
 def test_compare_notices_differences(con):
     one = oracle.fetch(con, "SELECT 1 AS a, 2.0::DOUBLE AS b")
     assert oracle.compare("x", one, oracle.fetch(con, "SELECT 1 AS a, 2.0::DOUBLE AS b")) == []
-    for other in ("SELECT 1 AS a, 2.5::DOUBLE AS b", "SELECT 1::BIGINT AS a, 2.0::DOUBLE AS b", "SELECT 1 AS a", "SELECT 1 AS a, NULL::DOUBLE AS b", "SELECT 1 AS a, 2.0::DOUBLE AS b UNION ALL SELECT 1, 2.0"):
+    for other in (
+        "SELECT 1 AS a, 2.5::DOUBLE AS b",
+        "SELECT 1::BIGINT AS a, 2.0::DOUBLE AS b",
+        "SELECT 1 AS a",
+        "SELECT 1 AS a, NULL::DOUBLE AS b",
+        "SELECT 1 AS a, 2.0::DOUBLE AS b UNION ALL SELECT 1, 2.0",
+    ):
         assert oracle.compare("x", one, oracle.fetch(con, other))

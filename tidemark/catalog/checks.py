@@ -156,15 +156,24 @@ def audit_counts(t: Tables) -> DataFrame:
 @query(
     " UNION ALL ".join(
         [
-            _result("all_unique", "o_orderkey", "COUNT(DISTINCT o_orderkey) = COUNT(*)", "COUNT(*) - COUNT(DISTINCT o_orderkey)", "orders"),
+            _result(
+                "all_unique", "o_orderkey", "COUNT(DISTINCT o_orderkey) = COUNT(*)",
+                "COUNT(*) - COUNT(DISTINCT o_orderkey)", "orders",
+            ),
             _result("no_nulls", "o_custkey", "COUNT(*) = COUNT(o_custkey)", "COUNT(*) - COUNT(o_custkey)", "orders"),
-            _result("accepted_values", "o_orderstatus", "BOOL_AND(o_orderstatus IN ('O', 'F'))", "COUNT(*) FILTER (WHERE o_orderstatus NOT IN ('O', 'F'))", "orders"),
+            _result(
+                "accepted_values", "o_orderstatus", "BOOL_AND(o_orderstatus IN ('O', 'F'))",
+                "COUNT(*) FILTER (WHERE o_orderstatus NOT IN ('O', 'F'))", "orders",
+            ),
             _result("positive", "o_totalprice", "COUNT(*) FILTER (WHERE o_totalprice <= 0) = 0", "COUNT(*) FILTER (WHERE o_totalprice <= 0)", "orders"),
             _result("mean_smaller_than", "o_totalprice", "AVG(o_totalprice) < 300000", "ROUND(AVG(o_totalprice), 6)", "orders"),
-            _result("not_unique", "o_custkey", "COUNT(DISTINCT o_custkey) < COUNT(*)", "COUNT(*) - COUNT(DISTINCT o_custkey)", "orders"),
+            _result(
+                "not_unique", "o_custkey", "COUNT(DISTINCT o_custkey) < COUNT(*)",
+                "COUNT(*) - COUNT(DISTINCT o_custkey)", "orders",
+            ),
         ]
     )
-)
+)
 def suite_in_one_pass(t: Tables) -> DataFrame:
     checks = [
         q.all_unique("o_orderkey"),

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import Tables, query
 from tidemark.functions.numbers import stable_mean
-from tidemark.functions.text import named_groups
+from tidemark.functions.text import before_marker, named_groups
 from tidemark.functions.times import spark_pattern, whole_minutes
+from tidemark.operators.diffs import diff_names
 from tidemark.operators.joins import full_by_key
 from tidemark.operators.ranks import exact_median, number_ordered, number_rows, ordered_lists
+from tidemark.operators.reports import histogram, keep_best
+from tidemark.operators.reports import seeded_sample as sample
 from tidemark.sources.scan import query as sql_query
 from tidemark.sources.scan import scan
 
@@ -458,25 +461,21 @@ def reaggregated_hours(t: Tables) -> DataFrame:
        FROM lineitem, b GROUP BY bin"""
 )
 def histogram_60(t: Tables) -> DataFrame:
-    bounds = t.lineitem.agg(F.min("l_extendedprice").alias("lo"), F.max("l_extendedprice").alias("hi")).first()
-    width = (bounds["hi"] - bounds["lo"]) / 60
-    slot = F.floor((F.col("l_extendedprice") - bounds["lo"]) / width)
-    return t.lineitem.groupBy(F.least(slot, F.lit(59)).cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return histogram(t.lineitem, "l_extendedprice", 60)
 
 
 # -- numbering ---------------------------------------------------------------------------------------------------------
 
 
 @query(
-    """SELECT user_id, minute, event_id, value FROM (SELECT user_id, DATE_TRUNC('day', ts) AS minute, event_id, value,
+    """SELECT user_id, day, event_id, value FROM (SELECT user_id, DATE_TRUNC('day', ts) AS day, event_id, value,
          ROW_NUMBER() OVER (PARTITION BY user_id, DATE_TRUNC('day', ts) ORDER BY value DESC, event_id) AS rn FROM events)
        WHERE rn = 1"""
 )
 def dedupe_keep_highest(t: Tables) -> DataFrame:
-    # the row numbered first is the maximum under the same order, which combines before the shuffle
-    keyed = t.events.withColumn("minute", F.date_trunc("day", "ts").cast("timestamp_ntz"))
-    best = F.max_by(F.struct("event_id", "value"), F.struct(F.col("value"), -F.col("event_id"))).alias("best")
-    return keyed.groupBy("user_id", "minute").agg(best).select("user_id", "minute", "best.*")
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")
+    keyed = t.events.select("user_id", day, "event_id", "value")
+    return keep_best(keyed, ["user_id", "day"], "value", ties=[-F.col("event_id")])
 
 
 @query("SELECT COUNT(*) AS n, 1::BIGINT AS first, COUNT(*) AS last, COUNT(*) AS different FROM lineitem")
@@ -536,8 +535,7 @@ def top_30_ascending(t: Tables) -> DataFrame:
     """SELECT o_orderkey, o_totalprice FROM orders ORDER BY MD5(CAST(o_orderkey AS VARCHAR) || ':42'), o_orderkey LIMIT 2000"""
 )
 def seeded_sample(t: Tables) -> DataFrame:
-    ticket = F.md5(F.concat(F.col("o_orderkey").cast("string"), F.lit(":42")))
-    return t.orders.select("o_orderkey", "o_totalprice").orderBy(ticket, "o_orderkey").limit(2000)
+    return sample(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey", 2000, 42)
 
 
 @query(
@@ -547,8 +545,6 @@ def seeded_sample(t: Tables) -> DataFrame:
          EXCEPT SELECT user_id FROM events)"""
 )
 def set_difference_both_ways(t: Tables) -> DataFrame:
-    from tidemark.operators.diffs import diff_names
-
     before = t.customer.filter("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("key"))
     return diff_names(before, t.events.select(F.col("user_id").alias("key")), "key")
 
@@ -582,8 +578,6 @@ def substring_head(t: Tables) -> DataFrame:
 
 @query("SELECT doc_id, SPLIT_PART(text, '. ', 1) AS first_sentence FROM documents")
 def text_before_marker(t: Tables) -> DataFrame:
-    from tidemark.functions.text import before_marker
-
     return t.documents.select("doc_id", before_marker(F.col("text"), ". ").alias("first_sentence"))
 
 

@@ -311,6 +311,8 @@ def key_audit(df: DataFrame, key: str, required: str) -> DataFrame:
 
 # The same checks as plain functions returning a boolean, one job each.
 
+_accepted = accepted_values  # the last function has a parameter of this name
+
 
 def expect_column_equal_concatenation(
     table: DataFrame, target_column: str, columns: Sequence[str], separator: str = ""
@@ -354,5 +356,5 @@ def expect_column_not_unique(table: DataFrame, column_name: str) -> bool:
     return holds(table, not_unique(column_name))
 
 
-def expect_column_accepted_values(table: DataFrame, column_name: str, accepted_values_: Sequence[Any]) -> bool:
-    return holds(table, accepted_values(column_name, accepted_values_))
+def expect_column_accepted_values(table: DataFrame, column_name: str, accepted_values: Sequence[Any]) -> bool:
+    return holds(table, _accepted(column_name, accepted_values))

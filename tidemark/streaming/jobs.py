@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.diffs import apply_changes, latest_changes
 from tidemark.operators.quality import Check, run_suite
+from tidemark.operators.reports import keep_best
 
 STATS = ["reading_count", "total_value", "avg_value", "min_value", "max_value"]
 
@@ -101,15 +102,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], ts: str, target: str, chec
 
 def best_per_key(df: DataFrame, keys: Sequence[str], best: str, target: str, checkpoint: str) -> DataFrame:
     """Keep the highest `best` of each key: every batch is reduced on arrival, the batches when read."""
-    rest = [name for name in df.columns if name not in keys]
 
-    def highest(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(best, *rest)).alias("top")).select(
-            *keys, "top.*"
-        )
+    def work(batch: DataFrame, number: int) -> None:
+        keep_best(batch, keys, best).write.mode("overwrite").parquet(batch_folder(target, number))
 
-    each_batch(df, checkpoint, lambda b, n: highest(b).write.mode("overwrite").parquet(batch_folder(target, n)))
-    return highest(df.sparkSession.read.option("basePath", target).parquet(target).drop("batch"))
+    each_batch(df, checkpoint, work)
+    return keep_best(read_batches(df.sparkSession, target).drop("batch"), keys, best)
 
 
 def merge_stream(
