@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.times import spark_pattern
 from tidemark.sinks.partitions import partition_spec
+from tidemark.session import written
 from tidemark.sources.files import list_files
 
 FOOTER = "path string, length bigint, position int, column string, type string, error string"
@@ -31,12 +32,6 @@ class SchemaConflict(ValueError):
     """The files disagree on a column's type and nobody has decided yet."""
 
 
-def _slices(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for start in range(0, len(batch), size):
-            yield batch.iloc[start : start + size]
-
-
 def footers(files: DataFrame) -> DataFrame:
     """One row per file and column with its type; an unreadable file is one row with `error` set."""
 
@@ -51,7 +46,8 @@ def footers(files: DataFrame) -> DataFrame:
                 return NANOS
             return from_arrow_type(kind, prefer_timestamp_ntz=True).simpleString()
 
-        for batch in _slices(batches, 256):
+        # slices of 256 files keep the answer small; nothing here needs this package on the executors
+        for batch in (b.iloc[i : i + 256] for b in batches for i in range(0, len(b), 256)):
             found = []
             for path, length in zip(batch["path"], batch["length"]):
                 try:
@@ -238,7 +234,7 @@ def read_files_as(
     spark: SparkSession, patterns: str | Sequence[str], plan: TablePlan, best_effort: bool = False
 ) -> DataFrame:
     """All files below the patterns as one table of the planned schema."""
-    footer = footers(_spread(list_files(spark, patterns)))
+    footer = written(footers(_spread(list_files(spark, patterns))), "footers")  # sorted below: read each footer once
     empty = spark.createDataFrame([], plan.schema())
     return reduce(DataFrame.unionByName, read_planned(spark, file_loads(footer), plan, best_effort), empty)
 
