@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.session import written
 
 # Bytes of text in a chunk; a longer document is a chunk of its own.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 # Hashes that one bucket should hold.
 BUCKET_HASHES = 1 << 21
 # Above this the answer is a logarithm, eight steps for each doubling.
@@ -48,7 +48,7 @@ def count_of(levels: np.ndarray) -> np.ndarray:
 
 def as_bytes(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 5))) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -66,7 +66,7 @@ def lay_chunks(docs: DataFrame, text: str) -> DataFrame:
         def row(held: list[pa.RecordBatch], n: int) -> pa.RecordBatch:
             blob = as_bytes(pa.Table.from_batches(held))
             return pa.RecordBatch.from_pydict(
-                {"chunk": [uuid.uuid4().hex], "n_bytes": pa.array([n], pa.int64()), "docs": pa.array([blob], pa.binary())}
+                {"chunk": [uuid.uuid4().hex[:16]], "n_bytes": pa.array([n], pa.int64()), "docs": pa.array([blob], pa.binary())}
             )
 
         held, size = [], 0
@@ -90,24 +90,26 @@ def lay_chunks(docs: DataFrame, text: str) -> DataFrame:
 def encode(keys: np.ndarray, extra: np.ndarray | None, counts: np.ndarray) -> bytes:
     """Sorted keys as differences of the fewest bytes, a 16-bit check for each if there is one, and the counts above one."""
     steps = np.diff(keys, prepend=np.uint64(0))
+    drop = np.uint64(0 if (steps & np.uint64(0xFFFF)).any() else 16)
+    steps >>= drop
     width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
     body = np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
     many = np.flatnonzero(counts > 1)
-    head = np.array([len(keys), width, len(many), extra is not None], "<u8").tobytes()
+    head = np.array([len(keys), width, len(many), extra is not None, drop], "<u8").tobytes()
     more = [] if extra is None else [extra.astype("<u2").tobytes()]
     return b"".join([head, many.astype("<u4").tobytes(), counts[many].astype("<u8").tobytes(), *more, body])
 
 
 def decode(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n, width, many, checked = (int(x) for x in np.frombuffer(raw, "<u8", 4))
-    at, places = np.frombuffer(raw, "<u4", many, 32), np.frombuffer(raw, "<u8", many, 32 + 4 * many)
+    n, width, many, checked, drop = (int(x) for x in np.frombuffer(raw, "<u8", 5))
+    at, places = np.frombuffer(raw, "<u4", many, 40), np.frombuffer(raw, "<u8", many, 40 + 4 * many)
     counts = np.ones(n, np.int64)
     counts[at] = places
-    extra = np.frombuffer(raw, "<u2", n, 32 + 12 * many) if checked else np.zeros(n, np.uint16)
-    body = np.frombuffer(raw, np.uint8, n * width, 32 + 12 * many + 2 * n * checked).reshape(n, width)
+    extra = np.frombuffer(raw, "<u2", n, 40 + 12 * many) if checked else np.zeros(n, np.uint16)
+    body = np.frombuffer(raw, np.uint8, n * width, 40 + 12 * many + 2 * n * checked).reshape(n, width)
     steps = np.zeros((n, 8), np.uint8)
     steps[:, :width] = body
-    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64), extra, counts
+    return np.cumsum(steps.view("<u8").ravel() << np.uint64(drop), dtype=np.uint64), extra, counts
 
 
 def distinct(keys: np.ndarray, extra: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray]:
