@@ -123,9 +123,9 @@ def overlap_needed(a: Column, b: Column, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, a_loc, b_loc) whose sets reach the threshold, compared exactly."""
+    """The pairs (a, b, a_loc, b_loc) that share as many prefix shingles as both chose, then compared exactly."""
     wanted = pairs.select(F.col("a_loc").alias("loc")).union(pairs.select("b_loc")).distinct()
-    sets = written(heads.select("loc", "items").join(wanted, "loc", "left_semi"), "sets")
+    sets = written(heads.select("loc", "items", "tokens", "k").join(wanted, "loc", "left_semi"), "sets")
 
     def compare(batches):
         for batch in batches:
@@ -137,50 +137,43 @@ def verified(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
                 good.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    one = sets.select(F.col("loc").alias("a_loc"), F.col("items").alias("a_items"))
-    two = sets.select(F.col("loc").alias("b_loc"), F.col("items").alias("b_items"))
-    both = pairs.join(one, "a_loc").join(two, "b_loc").select("a", "b", "a_items", "b_items")
-    return both.mapInArrow(compare, "a binary, b binary")
-
-
-def candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """Of rows (a, b and their loc, n, k, place; one per shared shingle) the pairs that share enough and early enough."""
-    room = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
-    pairs = rows.groupBy("a", "b").agg(
-        F.count("*").alias("shared"), F.max(room).alias("room"), F.min(F.least("a_k", "b_k")).alias("k"),
-        F.min("a_n").alias("a_n"), F.min("b_n").alias("b_n"), F.min("a_loc").alias("a_loc"), F.min("b_loc").alias("b_loc"),
-    )
-    enough = (F.col("shared") >= F.col("k")) & (F.col("room") >= overlap_needed(F.col("a_n"), F.col("b_n"), percent))
-    return pairs.filter(enough).select("a", "b", "a_loc", "b_loc")
+    one, two = (sets.select(*[F.col(c).alias(f"{s}_{c}") for c in sets.columns]) for s in "ab")
+    both = pairs.join(one, "a_loc").join(two, "b_loc")
+    both = both.filter(F.size(F.array_intersect("a_tokens", "b_tokens")) >= F.least("a_k", "b_k"))
+    return both.select("a", "b", "a_items", "b_items").mapInArrow(compare, "a binary, b binary")
 
 
 def fits(percent: int) -> Column:
-    """Sizes and positions of one shared shingle leave room for a link; later shared ones may lie MATCHES[-1] - 1 further on."""
+    """Sizes, and the places of a shared shingle if it is the first that the two share, leave room for a link."""
     small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-    room = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place")) + (MATCHES[-1] - 1)
+    room = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
     return (100 * small >= percent * large) & (room >= overlap_needed(F.col("a_n"), F.col("b_n"), percent))
 
 
+def pairs_of(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("a", "b").agg(F.min("a_loc").alias("a_loc"), F.min("b_loc").alias("b_loc"))
+
+
 def links_of(heads: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between different sets, enough of them to connect all that any links connect."""
     posted = heads.filter("tokens is not null").select(
-        "node", "loc", "n", "k", F.explode(F.arrays_zip("tokens", "places")).alias("p")
+        "node", "loc", "n", F.explode(F.arrays_zip("tokens", "places")).alias("p")
     )
     # copies of a document meet here before anything is joined
     posted = posted.groupBy(F.col("p.tokens").alias("token"), "node").agg(
-        F.min("loc").alias("loc"), F.min("n").alias("n"), F.min("k").alias("k"), F.min("p.places").alias("place")
+        F.min("loc").alias("loc"), F.min("n").alias("n"), F.min("p.places").alias("place")
     )
     posted = written(posted, "lists")
     middle = posted.groupBy("token").agg(
-        F.min(F.struct("place", "n", "node", "loc", "k")).alias("c"), F.count("*").alias("size")
+        F.min(F.struct("place", "n", "node", "loc")).alias("c"), F.count("*").alias("size")
     )
     lists = written(posted.join(middle.filter("size > 1").drop("size"), "token"), "lists")
-    cells = ["node", "loc", "n", "k", "place"]
+    cells = ["node", "loc", "n", "place"]
     star = lists.filter(F.col("node") != F.col("c.node")).select(
         *[F.col(f"c.{x}").alias("a" if x == "node" else f"a_{x}") for x in cells],
         *[F.col(x).alias("b" if x == "node" else f"b_{x}") for x in cells],
     )
-    first = written(candidates(star.filter(fits(percent)), percent), "pairs")
+    first = written(pairs_of(star.filter(fits(percent))), "pairs")
     links = written(verified(first, heads, percent), "links")
 
     # what is left: pairs of different components so far
@@ -191,7 +184,7 @@ def links_of(heads: DataFrame, percent: int) -> DataFrame:
     sides = [lists.select("token", *[F.col(x).alias(s if x == "node" else f"{s}_{x}") for x in [*cells, "part"]]) for s in "ab"]
     rest = sides[0].join(sides[1], "token").filter((F.col("a") < F.col("b")) & (F.col("a_part") != F.col("b_part")) & fits(percent))
     done = first.select("a", "b").union(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = written(candidates(rest, percent).join(done, ["a", "b"], "left_anti"), "pairs")
+    rest = written(pairs_of(rest).join(done, ["a", "b"], "left_anti"), "pairs")
     return links.union(verified(rest, heads, percent))
 
 

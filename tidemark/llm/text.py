@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes hashed in one go; bounds the temporary arrays, not the texts.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 BASE, BASE_INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 OTHER, OTHER_INVERSE = 0xD1342543DE82EF95, pow(0xD1342543DE82EF95, -1, 1 << 64)
 SPACES = (0x20, *range(0x09, 0x0E))
@@ -90,8 +90,10 @@ class Words:
         inside = np.zeros(len(data) + 2, bool)
         np.logical_not(gap[data], out=inside[1:-1])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
+        small = np.int32 if len(data) < 1 << 31 else np.int64
         self.data, self.starts = data, starts
-        self.begin, self.end = edges[0::2], edges[1::2]
+        self.begin, self.end = edges[0::2].astype(small), edges[1::2].astype(small)
+        del edges, inside
         self.first = np.searchsorted(self.begin, starts)  # words of text i: first[i] .. first[i+1]-1
         if hashed:
             self.hash = self._hash()
