@@ -8,13 +8,14 @@ of all rows hold arrives once per chunk. The chunk then computes its hashes agai
 
 from __future__ import annotations
 
-import uuid
+import itertools
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,14 +60,19 @@ def as_table(raw: bytes) -> pa.Table:
 
 
 def lay_chunks(docs: DataFrame, text: str) -> DataFrame:
-    """Write `docs`, all their columns, as rows (chunk, n_bytes, docs); read the result with `as_table`."""
+    """Write `docs`, all their columns, as rows (chunk, n_bytes, docs); read the result with `as_table`.
+
+    Chunk names ascend with the partitions of `docs` and the rows in them.
+    """
     small_batches(docs.sparkSession)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made = TaskContext.get().partitionId(), itertools.count()
+
         def row(held: list[pa.RecordBatch], n: int) -> pa.RecordBatch:
             blob = as_bytes(pa.Table.from_batches(held))
             return pa.RecordBatch.from_pydict(
-                {"chunk": [uuid.uuid4().hex[:16]], "n_bytes": pa.array([n], pa.int64()), "docs": pa.array([blob], pa.binary())}
+                {"chunk": [f"{part:08d}-{next(made):06d}"], "n_bytes": pa.array([n], pa.int64()), "docs": pa.array([blob], pa.binary())}
             )
 
         held, size = [], 0
@@ -131,11 +137,12 @@ def distinct(keys: np.ndarray, extra: np.ndarray | None) -> tuple[np.ndarray, np
 Extract = Callable[[dict], tuple[np.ndarray, np.ndarray | None]]
 
 
-def count_hashes(chunks: DataFrame, extract: Extract, bytes_per_hash: float, name: str) -> DataFrame:
+def count_hashes(chunks: DataFrame, extract: Extract, bytes_per_hash: float, name: str, earlier: bool = False) -> DataFrame:
     """`chunks` with a column `name`: for each distinct key of the chunk in ascending order, the level of its corpus count.
 
     `extract` gets a row of `chunks` as a dict and returns its keys (64 bits, repeats allowed) and a 16-bit check for each, or None.
-    `bytes_per_hash` only sets the number of buckets. Use `levels_of` to read the column.
+    `bytes_per_hash` only sets the number of buckets. With `earlier`, a key's first chunk gets 1, whatever comes later. Use
+    `levels_of` to read the column.
     """
     size = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     bits = max(6, min(18, int(np.ceil(np.log2(max(1, size / bytes_per_hash / BUCKET_HASHES))))))
@@ -158,11 +165,15 @@ def count_hashes(chunks: DataFrame, extract: Extract, bytes_per_hash: float, nam
                 )
 
     def answer(group: pa.Table) -> pa.Table:
+        group = group.sort_by("chunk")
         parts = [decode(x.as_py()) for x in group.column("keys")]
         keys, extra, counts = (np.concatenate(x) for x in zip(*parts))
         _, _, _, place = distinct(keys, extra)
         total = np.bincount(place, counts).astype(np.int64)
-        levels = np.split(level(total)[place], np.cumsum([len(p[0]) for p in parts])[:-1])
+        found = level(total)[place]
+        if earlier:
+            found[np.unique(place, return_index=True)[1]] = 1
+        levels = np.split(found, np.cumsum([len(p[0]) for p in parts])[:-1])
         return pa.table(
             {"bucket": group.column("bucket"), "chunk": group.column("chunk"),
              "levels": pa.array([zlib.compress(x.tobytes(), 1) for x in levels], pa.binary())}

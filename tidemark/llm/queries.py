@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ngram_join, windows
+from tidemark.llm import ngram_join, suffixes, windows
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     _, rows = ngram_join.join_by_jaccard(table(spark, folder, "documents"), size=3, percent=90)
     return rows.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.report_repeats(table(spark, folder, "documents"), keep_first=False)
