@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ngram_join, suffixes, windows
+from tidemark.llm import ngram_join, packing, suffixes, tokens, windows
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,30 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.report_repeats(table(spark, folder, "documents"), keep_first=False)
+
+
+def public_file(name: str) -> str:
+    """Where a public tokenizer's file lies on the driver; its content travels with the tasks."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    with open(public_file("word_bpe_49k.json"), encoding="utf-8") as file:
+        return packing.pack(table(spark, folder, "documents"), file.read())
+
+
+def unigram_vocabulary(path: str) -> list[tuple[str, float]]:
+    """The pieces and scores of a public sentencepiece file, without its control pieces."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size()) if not model.is_control(i)]
+
+
+@query
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = unigram_vocabulary(public_file("piece_bpe_32k.model"))
+    return tokens.count_tokens(table(spark, folder, "documents"), vocabulary, byte_pieces=True)

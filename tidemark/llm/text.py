@@ -81,6 +81,19 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
 
 
+def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each ascending span of bytes and its length, in blocks; not mixed yet."""
+    values, out, at, n = byte_values(), np.empty(len(begin), np.uint64), 0, len(begin)
+    while at < n:
+        # spans up to a block of bytes, one at least
+        upto = max(at + 1, int(np.searchsorted(end, begin[at] + BLOCK, "right")))
+        low = begin[at]
+        part = values[data[low : end[upto - 1]]]
+        out[at:upto] = spans(part, begin[at:upto] - low, end[at:upto] - low, BASE, BASE_INVERSE)
+        at = upto
+    return mix(out) + (end - begin).astype(np.uint64)
+
+
 class Words:
     """The words of laid-out texts: byte range and hash of each, and the range of words of each text."""
 
@@ -96,18 +109,7 @@ class Words:
         del edges, inside
         self.first = np.searchsorted(self.begin, starts)  # words of text i: first[i] .. first[i+1]-1
         if hashed:
-            self.hash = self._hash()
-
-    def _hash(self) -> np.ndarray:
-        values, out, at, n = byte_values(), np.empty(len(self.begin), np.uint64), 0, len(self.begin)
-        while at < n:
-            # words up to a block of bytes, one word at least
-            upto = max(at + 1, int(np.searchsorted(self.end, self.begin[at] + BLOCK, "right")))
-            low = self.begin[at]
-            part = values[self.data[low : self.end[upto - 1]]]
-            out[at:upto] = spans(part, self.begin[at:upto] - low, self.end[at:upto] - low, BASE, BASE_INVERSE)
-            at = upto
-        return mix(out + (self.end - self.begin).astype(np.uint64))
+            self.hash = mix(hash_spans(data, self.begin, self.end))
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
