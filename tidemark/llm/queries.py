@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ngram_join, packing, suffixes, tokens, windows
+from tidemark.llm import benchmark, ngram_join, packing, suffixes, tokens, urls, windows
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,75 @@ def unigram_vocabulary(path: str) -> list[tuple[str, float]]:
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = unigram_vocabulary(public_file("piece_bpe_32k.model"))
     return tokens.count_tokens(table(spark, folder, "documents"), vocabulary, byte_pieces=True)
+
+
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+]
+# Hosts that a list of unwanted sites names; each stands for all hosts below it.
+LISTED = [
+    f"{name}.example.{end}/"
+    for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+    for end in ("com", "net", "org")
+]
+
+ORACLES["op5_url_filter"] = f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), rules(verdict, rule, kind) AS (
+  VALUES {", ".join([f"('{v}', '{r}', 1)" for v, r in URL_RULES] + [f"('block', '{r}', 0)" for r in LISTED])}
+), fits AS (
+  SELECT page_id, verdict, rule, kind,
+         row_number() OVER (PARTITION BY page_id ORDER BY kind DESC, length(rule) DESC, verdict DESC) AS k
+  FROM parts JOIN rules
+    ON ends_with('.' || host, '.' || split_part(rule, '/', 1)) AND starts_with(path, substr(rule, strpos(rule, '/')))
+)
+SELECT p.page_id, p.host, p.path, CASE WHEN f.kind = 1 THEN f.rule END AS rule, coalesce(f.verdict, 'allow') AS verdict,
+       CASE WHEN f.kind = 0 THEN f.rule END AS listed
+FROM parts p LEFT JOIN (SELECT * FROM fits WHERE k = 1) f ON f.page_id = p.page_id
+"""
+
+
+@query
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), URL_RULES, LISTED)
+
+
+ORACLES["op6_benchmark_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') if x <> ''] AS w FROM documents
+), b AS (
+  SELECT item_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') if x <> ''] AS w FROM benchmark
+), starts AS (
+  SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0
+), grams AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS gram FROM starts
+), places AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d
+), runs AS (
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS gram
+  FROM places, (SELECT DISTINCT n FROM grams) WHERE i + n - 1 <= len(w)
+), hits AS (
+  SELECT doc_id, i, runs.n, item_id FROM runs JOIN grams ON runs.gram = grams.gram AND runs.n = grams.n
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+"""
+
+
+@query
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return benchmark.report_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
