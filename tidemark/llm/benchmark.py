@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WIDTH = 10
-# Characters of windows that may be broadcast; a larger benchmark is joined by shuffling.
+# Characters of windows, and different anchors, that may be broadcast; a larger benchmark is joined by shuffling.
 BROADCAST_CHARS = 32 << 20
+MOST_ANCHORS = 50_000
 # What lies between words, once A-Z are lower case, and the same with A-Z still as they are.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAPS_BEFORE_LOWERING = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -48,14 +49,26 @@ def windows_of(benchmark: DataFrame, item: str, text: str, width: int) -> DataFr
 def hits_of(docs: DataFrame, benchmark: DataFrame, row: list[Column], text: str, item: str, width: int) -> DataFrame:
     """Per document that is hit, under the columns `row`: `hit`, the places of its hit words, and `items`."""
     grams = windows_of(benchmark, item, "text", width)
-    size = grams.agg(F.sum(F.length(F.array_join("gram", " ")))).first()[0] or 0
-    grams = F.broadcast(grams) if size <= BROADCAST_CHARS else grams
+    size, anchors = grams.agg(F.sum(F.length(F.array_join("gram", " "))), F.count_distinct("anchor")).first()
+    known = None
+    if (size or 0) <= BROADCAST_CHARS and anchors <= MOST_ANCHORS:
+        grams = F.broadcast(grams)
+        known = [r.anchor for r in grams.select("anchor").distinct().collect()]
     names = [f"r{i}" for i in range(len(row))]
     words = docs.select(*[c.alias(n) for c, n in zip(row, names)], words_of(F.col(text)).alias("words"))
-    each = words.select("*", F.posexplode("words").alias("place", "word"))
+    # places of anchors, and only the words around them go on; with too many anchors, all places do
+    at = F.transform("words", lambda w, i: F.when(F.lower(w).isin(known), i) if known is not None else i)
+    near = lambda p: F.struct(
+        p.alias("place"), F.greatest(p - (width - 1), F.lit(0)).alias("first"),
+        F.slice("words", F.greatest(p - (width - 1), F.lit(0)) + 1, 2 * width - 1).alias("words"),
+    )
+    around = words.select(*names, F.transform(F.array_compact(at), near).alias("around"))
+    # outer, else the optimizer would cut each text into words once more to ask whether there are any
+    each = around.select(*names, F.explode_outer("around").alias("c")).filter("c is not null").select(*names, "c.*")
     start = F.col("place") - F.col("ahead")
-    same = F.when(start >= 0, plain(F.slice("words", start + 1, F.col("n"))) == F.col("gram")).otherwise(False)
-    found = each.join(grams, (F.lower("word") == F.col("anchor")) & same)
+    word = F.lower(F.col("words")[F.col("place") - F.col("first")])
+    same = F.when(start >= 0, plain(F.slice("words", start - F.col("first") + 1, F.col("n"))) == F.col("gram")).otherwise(False)
+    found = each.withColumn("word", word).join(grams, (F.col("word") == F.col("anchor")) & same)
     found = found.select(*names, F.struct(start.alias("start"), "n").alias("span"), "items")
     found = found.groupBy(*names).agg(F.collect_set("span").alias("spans"), F.collect_set("items").alias("items"))
     covered = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["n"] - 1)))
