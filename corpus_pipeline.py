@@ -1,30 +1,62 @@
-"""The training-data pipeline over `documents`. Each stage works on all rows its predecessor kept."""
+"""The training-data pipeline over `documents`: judge quality, drop near copies, cut shared passages, drop benchmark leaks, pack.
+
+Each stage works on all rows its predecessor kept, written as Parquet and read again. All but the last return the columns of
+`documents`.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import windows
-from tidemark.session import scratch_path
+from tidemark.llm import benchmark, ngram_join, packing, quality, windows
+from tidemark.llm.queries import public_file
+from tidemark.session import scratch_path, tune
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the trained rule reject go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by links of a similarity of 0.8 over five-word shingles, the one of the smallest id stays."""
+    return ngram_join.one_of_each(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut passages of 35 words and more that occur elsewhere; a document of which nothing is left goes."""
+    """Passages of 35 words and more that occur elsewhere are cut out; a document of which nothing is left goes."""
     cut = windows.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
     return cut.filter(F.length("text") > 0)
 
 
-STAGES = [("substring_dedup", substring_dedup)]
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold ten consecutive words of a benchmark item go."""
+    return benchmark.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences of 2048 tokens."""
+    with open(public_file("word_bpe_49k.json"), encoding="utf-8") as file:
+        return packing.pack(docs, file.read())
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("packing", pack),
+]
 
-# Hashed models, similarity joins and bin packing have no SQL form; tests hold each stage against a brute-force version.
+# A trained rule, similarity joins and bin packing have no SQL form; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

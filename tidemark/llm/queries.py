@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import benchmark, ngram_join, packing, suffixes, tokens, urls, windows
+from tidemark.llm import benchmark, language, ngram_join, packing, quality, suffixes, tokens, toxicity, urls, windows
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,18 @@ FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id =
 @query
 def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return benchmark.report_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.report_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
