@@ -1,8 +1,8 @@
 """Toxicity by a factorization machine over hashed terms: linear weights plus pairwise interactions through latent factors.
 
 Terms are a text's words, ASCII letters lowered, and their first four to six bytes, which stand for a word's forms; each counts
-once a text. All labelled training rows are counted per hashed term and label, and the terms that tell most about the label
-(`TERMS`) enter the machine. It is fitted on a bounded sample of labelled rows (`SAMPLE`) and scores every whole text.
+once a text. The machine is fitted on a bounded sample of labelled rows (`SAMPLE`): its rows are counted per hashed term and label,
+and the terms that tell most about the label (`TERMS`) enter the machine. It scores every whole text.
 
 Null and empty texts hold no terms and get the score of none. With no labels, or labels of one kind, every score is 0.
 """
@@ -20,11 +20,11 @@ from tidemark.llm.chunks import small_batches
 from tidemark.llm.linear import Adam, bounded, fold, labelled, sigmoid
 from tidemark.llm.text import Words, hash_spans, lay, lower_ascii, mix
 
-SAMPLE = 8000
+SAMPLE = 10_000
 BITS = 18
 TERMS = 512
 FACTORS = 8
-ROUNDS = 400
+ROUNDS = 300
 PREFIXES = (4, 5, 6)
 
 
@@ -46,7 +46,7 @@ def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def telling(rows: DataFrame, count: int) -> np.ndarray:
-    """The hashed terms whose share among label 1 differs most from that among label 0, counted over all rows."""
+    """The hashed terms whose share among label 1 differs most from that among label 0."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, sizes = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
@@ -107,6 +107,7 @@ class Machine:
 
 def train(rows: DataFrame, sample: int) -> Machine | None:
     """From rows (key, text, label)."""
+    rows = bounded(rows, sample)
     chosen = telling(rows, TERMS)
     if not len(chosen):
         return None
@@ -122,7 +123,7 @@ def train(rows: DataFrame, sample: int) -> Machine | None:
             lists = [at[a:b].astype("<u2").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
             yield pa.RecordBatch.from_pydict({"label": batch.column("label"), "at": pa.array(lists, pa.binary())})
 
-    got = bounded(rows, sample).orderBy("key").mapInArrow(work, "label int, at binary").toArrow()
+    got = rows.orderBy("key").mapInArrow(work, "label int, at binary").toArrow()
     y = got.column("label").to_numpy().astype(np.float64)
     x = np.zeros((len(y), len(chosen)), np.float32)
     for i, at in enumerate(got.column("at").to_pylist()):
