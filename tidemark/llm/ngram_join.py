@@ -24,8 +24,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm import chunks as C
 from tidemark.llm.components import components
+from tidemark.llm.scratch import Scratch
 from tidemark.llm.text import Words, lay, lower_ascii, mix, rolling
-from tidemark.session import written
 
 SHINGLE = 5
 PERCENT = 80
@@ -78,7 +78,7 @@ def prefix(keys: np.ndarray, df: np.ndarray, percent: int) -> tuple[int, np.ndar
     return k, keys[order[place]], place
 
 
-def heads_of(docs: DataFrame, key: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def heads_of(docs: DataFrame, key: str, text: str, size: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """The chunks, and per document: loc, key, n, node (the digest of its set), k, prefix shingles and positions, and its set.
 
     Prefix and set are null where no other document can link to this one by its prefix.
@@ -115,17 +115,17 @@ def heads_of(docs: DataFrame, key: str, text: str, size: int, percent: int) -> t
     kind = docs.schema[key].dataType.simpleString()
     counted = C.count_hashes(chunks.select("chunk", "n_bytes", "docs"), extract, 6.0, "levels")
     schema = f"loc string, `{key}` {kind}, n long, node binary, k int, tokens array<long>, places array<long>, items binary"
-    return chunks, written(C.each_chunk(counted, work, schema), "heads")
+    return chunks, scratch.lay(C.each_chunk(counted, work, schema), "heads")
 
 
 def overlap_needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil(percent * (a + b) / F.lit(100 + percent))
 
 
-def verified(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, heads: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b, a_loc, b_loc) that share as many prefix shingles as both chose, then compared exactly."""
     wanted = pairs.select(F.col("a_loc").alias("loc")).union(pairs.select("b_loc")).distinct()
-    sets = written(heads.select("loc", "items", "tokens", "k").join(wanted, "loc", "left_semi"), "sets")
+    sets = scratch.lay(heads.select("loc", "items", "tokens", "k").join(wanted, "loc", "left_semi"), "sets")
 
     def compare(batches):
         for batch in batches:
@@ -154,7 +154,7 @@ def pairs_of(rows: DataFrame) -> DataFrame:
     return rows.groupBy("a", "b").agg(F.min("a_loc").alias("a_loc"), F.min("b_loc").alias("b_loc"))
 
 
-def links_of(heads: DataFrame, percent: int) -> DataFrame:
+def links_of(heads: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) between different sets, enough of them to connect all that any links connect."""
     posted = heads.filter("tokens is not null").select(
         "node", "loc", "n", F.explode(F.arrays_zip("tokens", "places")).alias("p")
@@ -163,37 +163,40 @@ def links_of(heads: DataFrame, percent: int) -> DataFrame:
     posted = posted.groupBy(F.col("p.tokens").alias("token"), "node").agg(
         F.min("loc").alias("loc"), F.min("n").alias("n"), F.min("p.places").alias("place")
     )
-    posted = written(posted, "lists")
+    posted = scratch.lay(posted, "lists")
     middle = posted.groupBy("token").agg(
         F.min(F.struct("place", "n", "node", "loc")).alias("c"), F.count("*").alias("size")
     )
-    lists = written(posted.join(middle.filter("size > 1").drop("size"), "token"), "lists")
+    lists = scratch.lay(posted.join(middle.filter("size > 1").drop("size"), "token"), "lists")
     cells = ["node", "loc", "n", "place"]
     star = lists.filter(F.col("node") != F.col("c.node")).select(
         *[F.col(f"c.{x}").alias("a" if x == "node" else f"a_{x}") for x in cells],
         *[F.col(x).alias("b" if x == "node" else f"b_{x}") for x in cells],
     )
-    first = written(pairs_of(star.filter(fits(percent))), "pairs")
-    links = written(verified(first, heads, percent), "links")
+    first = scratch.lay(pairs_of(star.filter(fits(percent))), "pairs")
+    links = scratch.lay(verified(first, heads, percent, scratch), "links")
 
     # what is left: pairs of different components so far
     label = components(links)
     lists = lists.drop("c").join(label, "node", "left").withColumn("part", F.coalesce("part", "node"))
     open_lists = lists.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("token")
-    lists = written(lists.join(open_lists, "token", "left_semi"), "lists")
+    lists = scratch.lay(lists.join(open_lists, "token", "left_semi"), "lists")
     sides = [lists.select("token", *[F.col(x).alias(s if x == "node" else f"{s}_{x}") for x in [*cells, "part"]]) for s in "ab"]
     rest = sides[0].join(sides[1], "token").filter((F.col("a") < F.col("b")) & (F.col("a_part") != F.col("b_part")) & fits(percent))
     done = first.select("a", "b").union(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = written(pairs_of(rest).join(done, ["a", "b"], "left_anti"), "pairs")
-    return links.union(verified(rest, heads, percent))
+    rest = scratch.lay(pairs_of(rest).join(done, ["a", "b"], "left_anti"), "pairs")
+    return links.union(verified(rest, heads, percent, scratch))
 
 
 def join_by_jaccard(
     docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT
 ) -> tuple[DataFrame, DataFrame]:
     """(chunks, rows): rows have loc, key, n_shingles and component_id, the smallest key reachable by links, itself included."""
-    chunks, heads = heads_of(docs, key, text, size, percent)
-    label = components(written(links_of(heads, percent), "links"))
+    work, kept = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
+    chunks, heads = heads_of(docs, key, text, size, percent, work)
+    label = components(work.lay(links_of(heads, percent, work), "links"))
+    heads = kept.lay(heads.select("loc", key, "n", "node"), "nodes")
+    work.clear()
     classes = heads.filter("n > 0").groupBy("node").agg(F.min(key).alias("least"))
     classes = classes.join(label, "node", "left").withColumn("part", F.coalesce("part", "node"))
     groups = classes.groupBy("part").agg(F.min("least").alias("component_id"))
