@@ -6,10 +6,11 @@ from pyspark.errors import AnalysisException
 from tidemark.functions.params import Parameter, markers, resolve
 from tidemark.sources.scan import query, rows, scan
 
+WHOLE = "a = 1 AND (t OR a BETWEEN 2 AND 3)"
+# good filters cut short, and filters with a clause or statement hung on
 BAD = [
-    "", "  ", ";", ";;", "DROP TABLE t", "1; DELETE FROM t", "SELECT a FROM t", "a = 1 UNION SELECT 2",
-    "((a = 1", "a = 1))", "a =", "= 2", "a = 1 AND", "a = 1 OR", "a BETWEEN", "a IN", "a LIKE", "NOT",
-    "a = 1; SELECT 2", "\x00", "a = 'x", 'a = "x', "a = 1) OR (a = 2",
+    "", "\t", *[WHOLE[:n] for n in (1, 4, 9, 11, 25)], *[WHOLE + more for more in (")", " AND", " ORDER BY a", " LIMIT 1", "; SHOW TABLES")],
+    "WITH x AS (SELECT 1) SELECT a", "(SELECT a", "t; t", "a = 'it", "a ==== 1",
 ]
 
 

@@ -528,24 +528,20 @@ def history_filtered(t: Tables) -> DataFrame:
 
 
 @query(
-    """WITH b AS (SELECT event_type AS command, ts, 'u' || user_id || '.work-tx-' || event_type || '-' ||
-         STRFTIME(ts, '%Y%m%d%H%M%S') || '-' || event_id AS name, event_id AS job_id FROM events),
-       failed AS (SELECT event_id FROM events WHERE value > 20 AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20')
-       SELECT command, COUNT(*) AS dead FROM b WHERE job_id IN (SELECT event_id FROM failed) GROUP BY command"""
+    """SELECT event_type AS task, COUNT(*) AS dead FROM events
+       WHERE value > 20 AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20' GROUP BY event_type"""
 )
 def dead_branches_by_command(t: Tables) -> DataFrame:
-    """Work branches whose job failed in a date window, counted by the command in their name."""
+    """Lines named `attempt <job>: <task> for <user>` whose job failed in a date window, counted by task."""
     name = F.concat(
-        F.lit("u"), F.col("user_id").cast("string"), F.lit(".work-tx-"), F.col("event_type"), F.lit("-"),
-        F.date_format("ts", "yyyyMMddHHmmss"), F.lit("-"), F.col("event_id").cast("string"),
-    )
-    groups = ["user", "branch", "command", "stamp", "job_id"]
-    branches = t.events.select(*named_groups(name, r"([^.]+)\.([^-]+)-tx-(.+)-(\d{14})-(\d+)", groups))
+        F.lit("attempt "), F.col("event_id").cast("string"), F.lit(": "), "event_type", F.lit(" for "), F.col("user_id").cast("string")
+    )
+    lines = t.events.select(*named_groups(name, r"attempt (\d+): (\S+) for (\d+)", ["job", "task", "owner"]))
     failed = t.events.filter("value > 20 AND ts >= '2024-01-05' AND ts < '2024-01-20'").select(
-        F.col("event_id").cast("string").alias("job_id")
+        F.col("event_id").cast("string").alias("job")
     )
-    dead = branches.filter(F.col("job_id").isNotNull()).join(failed, "job_id", "left_semi")
-    return dead.groupBy("command").agg(F.count(F.lit(1)).alias("dead"))
+    dead = lines.filter(F.col("job").isNotNull()).join(failed, "job", "left_semi")
+    return dead.groupBy("task").agg(F.count(F.lit(1)).alias("dead"))
 
 
 @query(

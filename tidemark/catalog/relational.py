@@ -80,10 +80,10 @@ def sql_row_cap(t: Tables) -> DataFrame:
 # -- projections and predicates ----------------------------------------------------------------------------------------
 
 
-@query("SELECT l_suppkey AS id_1, l_suppkey, l_quantity AS qty_1 FROM lineitem WHERE l_returnflag = 'N'")
+@query("SELECT o_custkey AS buyer, o_totalprice AS amount, o_custkey FROM orders WHERE o_orderstatus = 'F'")
 def select_alias_twice(t: Tables) -> DataFrame:
-    return t.lineitem.filter("l_returnflag = 'N'").select(
-        F.col("l_suppkey").alias("id_1"), "l_suppkey", F.col("l_quantity").alias("qty_1")
+    return t.orders.filter("o_orderstatus = 'F'").select(
+        F.col("o_custkey").alias("buyer"), F.col("o_totalprice").alias("amount"), "o_custkey"
     )
 
 
@@ -150,15 +150,15 @@ def iso_offset_range(t: Tables) -> DataFrame:
 
 
 @query(
-    """WITH a AS (SELECT l_suppkey AS id_1, l_shipdate FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01')
-       SELECT MAX(id_1) AS max_id_1, 'ciao' AS literal_1 FROM a"""
+    """WITH large AS (SELECT o_custkey, o_totalprice FROM orders WHERE o_totalprice > 100000)
+       SELECT 'large orders' AS what, MAX(o_custkey) AS last_buyer, COUNT(*) AS n FROM large"""
 )
 def cte_max_literal(t: Tables) -> DataFrame:
     return sql_query(
         t.spark,
-        """WITH a AS (SELECT l_suppkey AS id_1, l_shipdate FROM lineitem WHERE l_shipdate >= '1997-01-01')
-           SELECT MAX(id_1) AS max_id_1, 'ciao' AS literal_1 FROM a""",
-        tables={"lineitem": t.path("lineitem")},
+        """WITH large AS (SELECT o_custkey, o_totalprice FROM orders WHERE o_totalprice > 100000)
+           SELECT 'large orders' AS what, MAX(o_custkey) AS last_buyer, COUNT(*) AS n FROM large""",
+        tables={"orders": t.path("orders")},
     )
 
 
@@ -689,22 +689,14 @@ def parse_timestamp(t: Tables) -> DataFrame:
 
 
 @query(
-    """WITH n AS (SELECT 'u' || user_id || '.work-tx-' || event_type || '-' || STRFTIME(ts, '%Y%m%d%H%M%S') AS name FROM events)
-       SELECT REGEXP_EXTRACT(name, '^([^.]+)\\.([^-]+)-tx-(.+)-(\\d{14})$', 3) AS command, COUNT(*) AS n FROM n
-       WHERE REGEXP_MATCHES(name, '^([^.]+)\\.([^-]+)-tx-(.+)-(\\d{14})$') GROUP BY 1"""
+    """WITH n AS (SELECT STRFTIME(ts, '%Y/%m/%d') || ' ' || event_type || '#' || user_id AS label FROM events)
+       SELECT REGEXP_EXTRACT(label, '^(\\d+)/(\\d+)/\\d+ (\\w+)#', 2) AS month, COUNT(*) AS n FROM n
+       WHERE REGEXP_MATCHES(label, '^(\\d+)/(\\d+)/\\d+ (\\w+)#') GROUP BY 1"""
 )
 def regex_groups_counted(t: Tables) -> DataFrame:
-    name = F.concat(
-        F.lit("u"),
-        F.col("user_id").cast("string"),
-        F.lit(".work-tx-"),
-        F.col("event_type"),
-        F.lit("-"),
-        F.date_format("ts", "yyyyMMddHHmmss"),
-    )
-    pattern = r"([^.]+)\.([^-]+)-tx-(.+)-(\d{14})"
-    parsed = t.events.select(*named_groups(name, pattern, ["user", "branch", "command", "stamp"]))
-    return parsed.filter(F.col("command").isNotNull()).groupBy("command").agg(F.count(F.lit(1)).alias("n"))
+    label = F.concat(F.date_format("ts", "yyyy/MM/dd"), F.lit(" "), "event_type", F.lit("#"), F.col("user_id").cast("string"))
+    parsed = t.events.select(*named_groups(label, r"(\d+)/(\d+)/\d+ (\w+)#\d+", ["year", "month", "kind"]))
+    return parsed.filter(F.col("month").isNotNull()).groupBy("month").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE REGEXP_MATCHES(p_name, '^(red|blue) .*t$')")

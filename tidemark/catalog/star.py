@@ -176,16 +176,18 @@ def shipping_priority(t: Tables) -> DataFrame:
 )
 def local_supplier_volume(t: Tables) -> DataFrame:
     asia = nations(t).filter("r_name = 'ASIA'")
+    # lines of the region's suppliers, summed per order and nation before they meet the orders
+    sellers = t.supplier.join(asia, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi").select("s_suppkey", "s_nationkey")
+    lines = t.lineitem.select("l_orderkey", "l_suppkey", net().alias("revenue"))
+    lines = lines.join(sellers, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("l_orderkey", "s_nationkey")
+    lines = lines.agg(F.sum("revenue").alias("revenue"))
     placed = (
-        t.orders.filter(F.col("o_orderdate").between("1996-01-01", "1998-12-31"))
+        t.orders.filter((F.col("o_orderdate") >= "1996-01-01") & (F.col("o_orderdate") < "1999-01-01"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(asia, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
         .select("o_orderkey", "c_nationkey")
     )
-    lines = t.lineitem.select("l_orderkey", "l_suppkey", net().alias("revenue"))
-    local = lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        t.supplier, (F.col("l_suppkey") == F.col("s_suppkey")) & (F.col("s_nationkey") == F.col("c_nationkey"))
-    )
+    same = (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("s_nationkey") == F.col("c_nationkey"))
+    local = lines.join(placed, same)
     return (
         local.groupBy("c_nationkey")
         .agg(F.sum("revenue").alias("revenue"))

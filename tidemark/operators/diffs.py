@@ -151,17 +151,27 @@ def merge_rows(
 
 
 def latest_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last change of every key: a struct maximum, combined map-side, so a hot key costs one row per task."""
+    """The last change of every key: a struct maximum, combined map-side, so a hot key costs one row per task.
+
+    Of changes equal in `order`, the one with the largest other columns counts, so that the outcome is the same every time.
+    """
     rest = [name for name in changes.columns if name not in (*keys, *order)]
-    newest = F.max_by(F.struct(*order, *rest), F.struct(*order)).alias("__newest")
+    ties = [name for name in rest if "map<" not in changes.schema[name].dataType.simpleString()]
+    newest = F.max_by(F.struct(*order, *rest), F.struct(*order, *ties)).alias("__newest")
     return changes.groupBy(*keys).agg(newest).select(*keys, "__newest.*").select(*changes.columns)
 
 
 def apply_changes(
     base: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str], op: str = "op"
 ) -> DataFrame:
-    """Apply a feed of insert, update and delete rows to a keyed table; only the last change of a key counts."""
+    """Apply a feed of insert, update and delete rows to a keyed table; only the last change of a key counts.
+
+    Case does not matter in `op`; a null or any other word fails the job.
+    """
+    what = F.lower(op)
+    wrong = F.raise_error(F.concat(F.lit("unknown change: "), F.coalesce(F.col(op), F.lit("null")))).cast("boolean")
+    stays = F.when(what == "delete", False).when(what.isin("insert", "update"), True).otherwise(wrong)
     last = latest_changes(changes, keys, order)
     touched = last.select(*keys)
     kept = match_keys(base, touched, keys, "left_anti")
-    return kept.unionByName(last.filter(F.col(op) != "delete").select(*base.columns))
+    return kept.unionByName(last.filter(stays).select(*base.columns))

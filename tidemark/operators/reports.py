@@ -20,13 +20,14 @@ def keep_best(df: DataFrame, keys: Sequence[str], best: str, ties: Sequence[Colu
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Rows per equal-width bin (`bin` from 0, `n`) between the smallest and the largest value; nulls are left out."""
+    """Rows per equal-width bin (`bin` from 0, `n`) between the smallest and the largest value; nulls and NaN are left out."""
+    df = df.filter(F.col(column).isNotNull() & ~F.isnan(column))
     low, high = df.agg(F.min(column), F.max(column)).first()
     if low is None or low == high:
         slot = F.lit(0)
     else:
         slot = F.least(F.floor((F.col(column) - low) / ((high - low) / bins)), F.lit(bins - 1))
-    counted = df.filter(F.col(column).isNotNull()).groupBy(slot.cast("long").alias("bin"))
+    counted = df.groupBy(slot.cast("long").alias("bin"))
     return counted.agg(F.count(F.lit(1)).alias("n"))
 
 
