@@ -95,3 +95,18 @@ def test_preview(spark):
     with pytest.raises(ValueError):
         preview(df, "middle")
     assert profile(df) == [("id", "bigint", False)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["NOT IN (1)", "TRUE", "1 = 1", "a = b", "a = NULL", "a = 1 +2", "a", "a IN ()", "a IN (1", "a IN (1,)", "(a = 1", "a = 1)", "a = 1 AND",
+     "a = 1 b = 2", "a NOT (1)", "a NOT = 1", "a IN 1", "() OR a = 1", "AND a = 1", "a = (1)"],
+)
+def test_refused_productions(text):
+    with pytest.raises(ValueError, match="overwrite filter"):
+        check_overwrite_filter(text, ["a", "b"])
+
+
+@pytest.mark.parametrize("text", ["a = 1", "a NOT IN (1, 'x')", "(a = 1 AND (b IN (true) OR a <> -2.5))", "((a = 'it''s'))"])
+def test_accepted_productions(text):
+    assert check_overwrite_filter(text, ["a", "b"]) == text

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -132,6 +132,57 @@ _TOKEN = re.compile(
 _KEYWORDS = {"and", "or", "in", "not", "true", "false", "null"}
 
 
+def _parse_condition(tokens: list[tuple[str, str]], columns: Sequence[str]) -> None:
+    """Raise unless the tokens are: terms joined by AND and OR, a term being `column op literal`, `column [NOT] IN (literals)` or
+    a condition in parentheses."""
+    rest = [(kind, text, text.lower()) for kind, text in tokens][::-1]
+
+    def take(good: Callable[[str, str], bool], wanted: str) -> str:
+        if not rest or not good(rest[-1][0], rest[-1][2]):
+            found = rest[-1][1] if rest else "its end"
+            raise ValueError(f"overwrite filter: {wanted} expected, not {found}")
+        return rest.pop()[1]
+
+    def word(*words: str) -> Callable[[str, str], bool]:
+        return lambda kind, text: kind in ("word", "punct") and text in words
+
+    def literal(kind: str, text: str) -> bool:
+        return kind in ("string", "number") or text in ("true", "false")
+
+    def condition() -> None:
+        term()
+        while rest and rest[-1][2] in ("and", "or"):
+            rest.pop()
+            term()
+
+    def term() -> None:
+        if rest and rest[-1][1] == "(":
+            rest.pop()
+            condition()
+            take(word(")"), ")")
+            return
+        name = take(lambda kind, text: kind == "word" and text not in _KEYWORDS, "a partition column")
+        if name not in columns:
+            raise ValueError(f"overwrite filter: {name} is not a partition column")
+        if rest and rest[-1][0] == "op":
+            rest.pop()
+            take(literal, "a literal")
+            return
+        if rest and rest[-1][2] == "not":
+            rest.pop()
+        take(word("in"), "a comparison or IN")
+        take(word("("), "(")
+        take(literal, "a literal")
+        while rest and rest[-1][1] == ",":
+            rest.pop()
+            take(literal, "a literal")
+        take(word(")"), ")")
+
+    condition()
+    if rest:
+        raise ValueError(f"overwrite filter: unexpected {rest[-1][1]}")
+
+
 def check_overwrite_filter(text: str, partition_columns: Sequence[str], df: DataFrame | None = None) -> str:
     """Accept only comparisons, IN and NOT IN of partition columns with literals, joined by AND and OR.
 
@@ -148,19 +199,7 @@ def check_overwrite_filter(text: str, partition_columns: Sequence[str], df: Data
         at = match.end()
     if not tokens:
         raise ValueError("overwrite filter is empty")
-    for i, (kind, token) in enumerate(tokens):
-        if kind != "word":
-            continue
-        word = token.lower()
-        following = tokens[i + 1][1].lower() if i + 1 < len(tokens) else ""
-        if word == "not" and following != "in":
-            raise ValueError("overwrite filter: NOT is only allowed in NOT IN")
-        if word in _KEYWORDS:
-            continue
-        if word == "between" or (following == "(" and word not in _KEYWORDS):
-            raise ValueError(f"overwrite filter: {token} is not supported")
-        if token not in partition_columns:
-            raise ValueError(f"overwrite filter: {token} is not a partition column")
+    _parse_condition(tokens, partition_columns)
     if df is not None:
         where(df, text)
     return text
