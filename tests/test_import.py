@@ -167,3 +167,10 @@ def test_strptime_patterns():
     assert spark_pattern("%d/%m/%y at %I:%M %p") == "dd/MM/yy 'a''t' hh:mm a"
     with pytest.raises(ValueError):
         spark_pattern("%Q")
+
+
+def test_footers_of_paths_with_blanks_and_escapes(spark, folder):
+    rows = spark.createDataFrame([(1, "a b:c"), (2, "d/e")], "id int, k string")
+    rows.write.partitionBy("k").parquet(f"{folder}/odd name")
+    found = footers(list_files(spark, f"{folder}/odd name")).collect()
+    assert [(r.column, r.error) for r in found] == [("id", None)] * 2

@@ -287,3 +287,9 @@ def test_audit_of_new_rows_only(lake, numbers):
         lake.publish({"n": numbers}, strategy="APPEND", checks=checks)
     lake.publish({"n": numbers}, strategy="APPEND", checks=checks, audit_new_only=True)
     assert lake.read("n").count() == 20
+
+
+def test_soft_publish_warns(spark, lake):
+    rows = spark.createDataFrame([(1,), (None,)], "a int")
+    with pytest.warns(UserWarning, match="t: expectations failed: .*a"):
+        lake.publish({"t": rows}, checks={"t": [q.no_nulls("a")]}, strict=False)

@@ -46,18 +46,34 @@ def footers(files: DataFrame) -> DataFrame:
                 return NANOS
             return from_arrow_type(kind, prefer_timestamp_ntz=True).simpleString()
 
+        stores: dict[tuple[str, str], pafs.FileSystem] = {}
+
+        def located(path: str) -> tuple[pafs.FileSystem, str]:
+            """The store of an unescaped path, and the path in it. Trouble with the store itself fails the job."""
+            scheme, colon, rest = path.partition(":")
+            if not colon or "/" in scheme:
+                scheme, rest = "file", path
+            host, tail = "", rest
+            if rest.startswith("//"):
+                host, _, tail = rest[2:].partition("/")
+                tail = f"/{tail}"
+            scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+            if (scheme, host) not in stores:
+                store = pafs.LocalFileSystem() if scheme == "file" else pafs.FileSystem.from_uri(f"{scheme}://{host}/")[0]
+                stores[scheme, host] = store
+            return stores[scheme, host], host + tail if scheme in ("s3", "gs", "gcs") else tail
+
         # slices of 256 files keep the answer small; nothing here needs this package on the executors
         for batch in (b.iloc[i : i + 256] for b in batches for i in range(0, len(b), 256)):
             found = []
             for path, length in zip(batch["path"], batch["length"]):
+                store, inner = located(path)
                 try:
-                    uri = path if "://" in path else path.replace("file:", "file://", 1)
-                    store, inner = pafs.FileSystem.from_uri(uri)
                     with store.open_input_file(inner) as handle:
                         schema = pq.read_schema(handle)
                     found += [(path, length, i, f.name, name(f.type), None) for i, f in enumerate(schema)]
                 except Exception as problem:  # a bad file is a result here, not a failure
-                    found.append((path, length, None, None, None, f"{type(problem).__name__}: {problem}"[:500]))
+                    found.append((path, length, None, None, None, f"{type(problem).__name__}: {problem}"))
             yield pd.DataFrame(found, columns=["path", "length", "position", "column", "type", "error"]).astype(
                 {"position": "Int32", "length": "int64"}
             )
