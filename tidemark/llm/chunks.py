@@ -8,6 +8,7 @@ of all rows hold arrives once per chunk. The chunk then computes its hashes agai
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 import zlib
 from collections.abc import Callable, Iterator
@@ -35,6 +36,14 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
+def give_back() -> None:
+    """Return freed memory to the system, as several Python workers and a JVM share an executor's room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it, other C libraries need not
+    if trim:
+        trim(0)
+
+
 def level(counts: np.ndarray) -> np.ndarray:
     """A count as one byte: itself up to EXACT, then a logarithm."""
     high = EXACT + np.ceil(8 * np.log2(np.maximum(counts, EXACT) / EXACT))
@@ -163,17 +172,23 @@ def count_hashes(chunks: DataFrame, extract: Extract, bytes_per_hash: float, nam
                     {"bucket": pa.array(full, pa.int32()), "chunk": pa.array([row["chunk"]] * len(full), pa.string()),
                      "keys": pa.array(blobs, pa.binary())}
                 )
+                del row, k, e, n, blobs
+                give_back()
 
     def answer(group: pa.Table) -> pa.Table:
+        give_back()
         group = group.sort_by("chunk")
         parts = [decode(x.as_py()) for x in group.column("keys")]
+        ends = np.cumsum([len(p[0]) for p in parts])[:-1]
         keys, extra, counts = (np.concatenate(x) for x in zip(*parts))
-        _, _, _, place = distinct(keys, extra)
+        del parts
+        place = distinct(keys, extra)[3]
+        del keys, extra
         total = np.bincount(place, counts).astype(np.int64)
         found = level(total)[place]
         if earlier:
             found[np.unique(place, return_index=True)[1]] = 1
-        levels = np.split(found, np.cumsum([len(p[0]) for p in parts])[:-1])
+        levels = np.split(found, ends)
         return pa.table(
             {"bucket": group.column("bucket"), "chunk": group.column("chunk"),
              "levels": pa.array([zlib.compress(x.tobytes(), 1) for x in levels], pa.binary())}
@@ -202,5 +217,7 @@ def each_chunk(chunks: DataFrame, work: Callable[[dict], pa.Table | Iterator[pa.
                 made = work({c: batch.column(c)[i].as_py() for c in columns})
                 for table in [made] if isinstance(made, pa.Table) else made:
                     yield from table.to_batches(max_chunksize=2000)
+                made = table = None
+                give_back()
 
     return chunks.mapInArrow(run, schema)

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Bytes hashed in one go; bounds the temporary arrays, not the texts.
 BLOCK = 1 << 18
@@ -68,7 +69,7 @@ def rolling(values: np.ndarray, width: int, base: int = BASE, inverse: int = BAS
 def lay(texts: Sequence[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, starts): all texts as UTF-8, a newline behind each; text i is bytes[starts[i] : starts[i+1]-1]. Null is empty."""
     if isinstance(texts, (pa.Array, pa.ChunkedArray)):
-        texts = texts.to_pylist()
+        return _lay_column(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts)
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     starts = np.zeros(len(raw) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in raw], out=starts[1:])
@@ -76,6 +77,16 @@ def lay(texts: Sequence[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]
     return np.frombuffer(b"\n".join(raw), np.uint8), starts
 
 
+def _lay_column(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """`lay` without a Python string per text."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    starts = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False) + 1, out=starts[1:])
+    texts = pa.concat_arrays([texts, pa.array([b""], pa.large_binary())])
+    whole = pc.binary_join(pa.LargeListArray.from_arrays([0, len(texts)], texts), pa.scalar(b"\n", pa.large_binary()))
+    return np.frombuffer(whole[0].as_buffer(), np.uint8), starts
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     """A-Z as a-z, all other bytes as they are."""
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
@@ -117,7 +128,9 @@ class Words:
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, start): every run of `width` words within one text, by the index of its first word."""
         hashes = rolling(self.hash, width)
-        room = np.repeat(self.first[1:], self.counts())[: len(hashes)] - np.arange(len(hashes))
+        kind = self.begin.dtype
+        room = np.repeat(self.first[1:].astype(kind), self.counts())[: len(hashes)]
+        room -= np.arange(len(hashes), dtype=kind)
         start = np.flatnonzero(room >= width)
         return hashes[start], start
 
