@@ -93,3 +93,18 @@ def test_apply_changes(spark):
     assert latest_changes(changes, ["k"], ["seq"]).count() == 5
     found = {(r["k"], r["v"]) for r in apply_changes(base, changes, ["k"], ["seq"]).collect()}
     assert found == {(2, "b2"), (3, "c2"), (None, "n2")}
+
+
+def test_a_wider_number_is_no_change_and_other_types_are_refused(spark):
+    old = spark.createDataFrame([(1, 5), (2, 6)], "k int, v int")
+    new = spark.createDataFrame([(1, 5), (2, 7)], "k bigint, v bigint")
+    assert [tuple(r) for r in diff_rows(old, new, ["k"]).collect()] == [(2, "changed")]
+    merged, conflicts = merge_rows(old, old, new, ["k"])
+    assert conflicts.count() == 0 and sorted(map(tuple, merged.collect())) == [(1, 5), (2, 7)]
+    with pytest.raises(ValueError, match="no type of v"):
+        diff_rows(old, spark.createDataFrame([(1, "5")], "k int, v string"), ["k"])
+
+
+def test_diff_of_tables_of_keys_alone(spark):
+    old, new = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(2,), (3,)], "k int")
+    assert sorted(map(tuple, diff_rows(old, new, ["k"]).collect())) == [(1, "removed"), (3, "added")]

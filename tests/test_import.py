@@ -6,10 +6,11 @@ import pytest
 
 from tidemark.functions.times import spark_pattern
 from tidemark.operators import quality as q
-from tidemark.plans.versions import UnknownTable, VersionConflict
+from tidemark.plans.versions import Lake, UnknownTable, VersionConflict
 from tidemark.sources import importer
 from tidemark.sources.files import list_files, read_files, read_prefix
-from tidemark.sources.schema_plan import SchemaConflict, file_loads, footers, plan_table, read_files_as
+from tidemark.sources.importer import import_files
+from tidemark.sources.schema_plan import SchemaConflict, UnreadableFile, file_loads, footers, plan_table, read_files_as
 
 
 def store(folder, name, **columns):
@@ -174,3 +175,26 @@ def test_footers_of_paths_with_blanks_and_escapes(spark, folder):
     rows.write.partitionBy("k").parquet(f"{folder}/odd name")
     found = footers(list_files(spark, f"{folder}/odd name")).collect()
     assert [(r.column, r.error) for r in found] == [("id", None)] * 2
+
+
+def test_import_without_a_plan_narrows_nothing(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.create_table("t", spark.createDataFrame([], "v int").schema)
+    spark.createDataFrame([(1.9,)], "v double").coalesce(1).write.parquet(str(tmp_path / "wide"))
+    with pytest.raises(SchemaConflict, match="v \\(double into int\\)"):
+        import_files(lake, "t", str(tmp_path / "wide"))
+    spark.createDataFrame([(7,)], "v smallint").coalesce(1).write.parquet(str(tmp_path / "narrow"))
+    import_files(lake, "t", str(tmp_path / "narrow"))
+    assert [r.v for r in lake.read("t").collect()] == [7]
+
+
+def test_plans_and_reads_stop_at_an_unreadable_file(spark, tmp_path):
+    spark.createDataFrame([(1,)], "v int").coalesce(1).write.parquet(str(tmp_path / "d"))
+    plan = plan_table(spark, str(tmp_path / "d"))
+    (tmp_path / "d" / "bad.parquet").write_bytes(b"nothing of the kind")
+    with pytest.raises(UnreadableFile, match="bad.parquet"):
+        plan_table(spark, str(tmp_path / "d"))
+    with pytest.raises(UnreadableFile, match="bad.parquet"):
+        read_files_as(spark, str(tmp_path / "d"), plan)
+    with pytest.warns(UserWarning, match="left out 1 unreadable"):
+        assert read_files_as(spark, str(tmp_path / "d"), plan, continue_on_error=True).count() == 1

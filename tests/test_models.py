@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.params import Parameter
 from tidemark.operators import quality as q
 from tidemark.plans import contracts
-from tidemark.plans.models import Expectation, Input, Model, RunFailed, ordered, run, sql_model, sql_text_model
+from tidemark.plans.models import Expectation, Input, Model, RunFailed, ordered, relations, run, sql_model, sql_text_model
 
 
 @pytest.fixture
@@ -209,3 +209,19 @@ def test_input_at_a_version(spark, lake, trips):
 def test_model_must_return_a_table(spark, trips):
     with pytest.raises(RunFailed, match="not a DataFrame"):
         run(spark, [Model("a", lambda data: 5, {"data": Input("trips")})], {"trips": trips})
+
+
+def test_relations_are_what_a_statement_reads():
+    assert relations("SELECT SUM(x) AS revenue FROM orders o, (items i) JOIN `parts` ON revenue = 1") == {"orders", "items", "parts"}
+    assert relations("SELECT * FROM a JOIN b ON a.x = b.y LEFT JOIN c USING (x) ORDER BY z") == {"a", "b", "c"}
+    assert relations("SELECT * FROM (SELECT x FROM t) AS s, u WHERE EXISTS (SELECT 1 FROM ns)") == {"t", "u", "ns"}
+    assert relations("WITH orders AS (SELECT 'FROM p' FROM orders) SELECT * FROM orders -- FROM v") == {"orders"}
+    assert {"t", "u"} <= relations("SELECT * FROM (SELECT x, y FROM t) JOIN (u) ON sum(x) = 1")
+
+
+def test_an_alias_named_like_a_model_makes_no_cycle():
+    models = [
+        sql_text_model("revenue", "SELECT * FROM totals"),
+        sql_text_model("totals", "SELECT SUM(x) AS revenue FROM orders ORDER BY revenue"),
+    ]
+    assert [m.name for m in ordered(models, {"orders"})] == ["totals", "revenue"]

@@ -106,3 +106,11 @@ def test_resolve_parameters():
         resolve(declared, {"ratio": 1, "flag": "maybe"})
     with pytest.raises(ValueError, match="failed to parse"):
         resolve(declared, {"ratio": "much"})
+
+
+def test_query_leaves_the_sessions_own_views(spark):
+    spark.range(3).createOrReplaceTempView("numbers")
+    assert query(spark, "SELECT * FROM numbers", tables={"numbers": spark.range(5), "others": spark.range(1)}).count() == 5
+    assert spark.table("numbers").count() == 3
+    assert not spark.catalog.tableExists("others")
+    spark.catalog.dropTempView("numbers")

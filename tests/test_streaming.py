@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as q
@@ -78,3 +79,12 @@ def test_repeated_batch_changes_nothing(spark, folder):
     for _ in range(2):
         df.write.mode("overwrite").parquet(jobs.batch_folder(f"{folder}/t", 0))
     assert jobs.read_batches(spark, f"{folder}/t").count() == 1
+
+
+def test_target_belongs_to_one_checkpoint_and_no_data_is_no_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = jobs.file_stream(spark, str(tmp_path / "in"), "k int, v int")
+    first = jobs.best_per_key(stream, ["k"], "v", str(tmp_path / "out"), str(tmp_path / "c1"))
+    assert first.columns == ["k", "v"] and first.count() == 0
+    with pytest.raises(ValueError, match="another target"):
+        jobs.best_per_key(stream, ["k"], "v", str(tmp_path / "out"), str(tmp_path / "c2"))

@@ -293,3 +293,13 @@ def test_soft_publish_warns(spark, lake):
     rows = spark.createDataFrame([(1,), (None,)], "a int")
     with pytest.warns(UserWarning, match="t: expectations failed: .*a"):
         lake.publish({"t": rows}, checks={"t": [q.no_nulls("a")]}, strict=False)
+
+
+def test_overwrite_refuses_another_partitioning(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.publish({"t": spark.createDataFrame([("a", 1)], "nm string, v int")})
+    lake.evolve("t", rename={"nm": "name"})
+    new = spark.createDataFrame([("a", 2)], "name string, v int")
+    with pytest.raises(ValueError, match="partitioned by"):
+        lake.publish({"t": new}, strategy="OVERWRITE_PARTITIONS", partitioned_by=["name"], overwrite_filter="name = 'a'")
+    assert [tuple(r) for r in lake.read("t").collect()] == [("a", 1)]

@@ -4,6 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Whole-number types, narrowest first, and the decimal digits that hold any value of each.
+WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def widens(stored: T.DataType, target: T.DataType) -> bool:
+    """Whether `target` holds every value of `stored`: the same type, or a wider number."""
+    if stored == target or isinstance(stored, T.NullType):
+        return True
+    digits, wanted = WHOLE.get(type(stored)), WHOLE.get(type(target))
+    if isinstance(target, T.DecimalType):
+        if isinstance(stored, T.DecimalType):
+            return target.scale >= stored.scale and target.precision - target.scale >= stored.precision - stored.scale
+        return digits is not None and target.precision - target.scale >= digits
+    if isinstance(target, T.DoubleType):
+        return isinstance(stored, T.FloatType) or (digits is not None and digits <= 10)
+    if isinstance(target, T.FloatType):
+        return digits is not None and digits <= 5
+    return digits is not None and wanted is not None and digits <= wanted
 
 
 def stable_mean(value: Column | str, places: int = 2) -> Column:

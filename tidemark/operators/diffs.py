@@ -12,19 +12,34 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import widens
 from tidemark.operators.joins import match_keys
 from tidemark.session import written
 
 
 def row_hash(columns: Sequence[str]) -> Column:
     """64-bit hash of the columns in which a null differs from every value and from a shifted neighbour."""
-    return F.xxhash64(*[part for name in columns for part in (F.col(name), F.col(name).isNull())])
+    return F.xxhash64(F.lit(len(columns)), *[part for name in columns for part in (F.col(name), F.col(name).isNull())])
+
+
+def same_types(sides: Sequence[DataFrame]) -> list[DataFrame]:
+    """The versions with one type per column: the widest of the numbers; any other difference is refused."""
+    if len({frozenset(df.columns) for df in sides}) > 1:
+        raise ValueError("the versions have different columns; compare their schemas first")
+    wide = {}
+    for name in sides[0].columns:
+        kinds = [df.schema[name].dataType for df in sides]
+        fit = [kind for kind in kinds if all(widens(other, kind) for other in kinds)]
+        if not fit:
+            found = ", ".join(kind.simpleString() for kind in kinds)
+            raise ValueError(f"no type of {name} holds the values of all versions: {found}")
+        wide[name] = fit[0]
+    return [df.select(*[F.col(n).cast(wide[n]).alias(n) for n in sides[0].columns]) for df in sides]
 
 
 def _sides(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     values = [name for name in before.columns if name not in keys]
-    if set(before.columns) != set(after.columns):
-        raise ValueError("the two versions have different columns; compare their schemas first")
+    before, after = same_types([before, after])
     tagged = before.select(*keys, F.lit(0).alias("side"), row_hash(values).alias("hash")).unionByName(
         after.select(*keys, F.lit(1).alias("side"), row_hash(values).alias("hash"))
     )
@@ -92,7 +107,7 @@ def merge_rows(
     published only when `conflicts` is empty. The comparison runs at once; a key repeated on one side raises.
     """
     values = [name for name in base.columns if name not in keys]
-    sides = [base, ours, theirs]
+    sides = base, ours, theirs = same_types([base, ours, theirs])
     tagged = reduce(
         DataFrame.unionByName,
         [

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.functions.text import before_marker, page_text
 
@@ -30,11 +32,14 @@ def extract_text(
     else:
         schema = T.StructType([*df.schema.fields, T.StructField(name, T.StringType(), True)])
 
-        def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, at = schema.names, df.columns.index(source)
+
+        def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.assign(**{name: [None if raw is None else parser(raw) for raw in batch[source]]})
+                made = [None if raw is None else parser(raw) for raw in batch.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], names=names)
 
-        df = df.mapInPandas(parse, schema)
+        df = df.mapInArrow(parse, schema)
     if marker is not None:
         df = df.withColumn(name, before_marker(F.col(name), marker))
     return df.drop(*drop)
@@ -51,24 +56,23 @@ def enrich(
     """Many output rows per input row, from a function called once per batch of rows.
 
     `call` gets at most `batch` rows and yields dicts with the fields of `schema` and `row`, the position in the batch it
-    belongs to; the `keys` of that row are added, renamed by `rename`.
+    belongs to; the `keys` of that row are added, renamed by `rename`. Keys stay Arrow values, so none loses digits, and whole
+    numbers beside nulls reach `call` as Python integers.
     """
     fields = T._parse_datatype_string(schema)
     added = [T.StructField(rename.format(key), df.schema[key].dataType, True) for key in keys]
     out = T.StructType([*fields.fields, *added])
-    names = [f.name for f in out]
+    kinds, places = to_arrow_schema(fields), [df.columns.index(key) for key in keys]
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for start in range(0, len(frame), batch):
-                piece = frame.iloc[start : start + batch].reset_index(drop=True)
-                found = []
-                for answer in call(piece):
-                    source = piece.iloc[answer["row"]]
-                    values = {name: answer.get(name) for name in fields.names}
-                    values.update({rename.format(key): source[key] for key in keys})
-                    found.append(values)
-                if found:
-                    yield pd.DataFrame(found, columns=names)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, batch):
+                piece = whole.slice(start, batch)
+                answers = list(call(piece.to_pandas(integer_object_nulls=True)))
+                if not answers:
+                    continue
+                rows = pa.array([answer["row"] for answer in answers], pa.int64())
+                made = [pa.array([answer.get(f.name) for answer in answers], f.type) for f in kinds]
+                yield pa.RecordBatch.from_arrays([*made, *[piece.column(i).take(rows) for i in places]], names=out.names)
 
-    return df.mapInPandas(work, out)
+    return df.mapInArrow(work, out)

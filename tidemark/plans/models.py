@@ -31,6 +31,18 @@ _QUIET = re.compile(r"--[^\n]*|/\*.*?\*/|'(?:[^']|'')*'", re.DOTALL)
 _DIRECTIVES = ("name", "materialization_strategy", "partitioned_by", "output_schema", "overwrite_filter")
 
 
+# A name after FROM, JOIN or a comma, neither a function nor the qualifier of a column.
+_READS = re.compile(r"(?:\b(?:FROM|JOIN)\b|,)[\s(]*(?:LATERAL\b\s*)?(?!SELECT\b|LATERAL\b)(`?[A-Za-z_]\w*\b`?)(?!\s*[(.])", re.IGNORECASE)
+
+
+def relations(sql: str) -> set[str]:
+    """Names a statement may read from; an alias given by AS, a column behind a dot or a function of the same name is none.
+
+    A name that WITH defines counts, since its own definition may read a table of that name.
+    """
+    return {name.strip("`") for name in _READS.findall(_QUIET.sub(" ", sql))}
+
+
 class RunFailed(RuntimeError):
     pass
 
@@ -64,8 +76,7 @@ class Model:
     def parents(self, known: set[str]) -> set[str]:
         if self.sql is None:
             return {parent.name for parent in self.inputs.values()} & known
-        words = set(re.findall(r"[A-Za-z_]\w*", _QUIET.sub(" ", self.sql)))
-        return (words & known) - {self.name}
+        return (relations(self.sql) & known) - {self.name}
 
 
 @dataclass
@@ -118,7 +129,7 @@ def ordered(models: Sequence[Model], lake_names: set[str]) -> list[Model]:
             raise ValueError(f"duplicate definition of {model.name!r}")
         by_name[model.name] = model
     for model in models:
-        own = model.sql is not None and model.name in re.findall(r"[A-Za-z_]\w*", _QUIET.sub(" ", model.sql))
+        own = model.sql is not None and model.name in relations(model.sql)
         if any(parent.name == model.name for parent in model.inputs.values()) or (own and model.name in lake_names):
             raise ValueError(f"{model.name!r} reads itself")
         for parent in model.inputs.values():

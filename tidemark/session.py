@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -53,7 +54,7 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if context.applicationId not in _local_roots:
         _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")

@@ -63,9 +63,9 @@ def import_files(
 
     The ledger of imported files is a table published in the same version as the rows, so a run that dies half-way leaves
     neither, and a repeated run loads nothing twice. With `checks` the new rows are audited where they were written and
-    nothing is published if one fails.
+    nothing is published if one fails. Without a `plan`, a file whose types the table does not hold in full is a SchemaConflict.
     """
-    spark = lake.spark
+    spark, lossless = lake.spark, plan is None
     based_on = lake.versions()[-1] if lake.versions() else 0
     tables = lake.record()["tables"]
     if name not in tables:
@@ -93,7 +93,7 @@ def import_files(
     )
     entry = tables[name]
     added = 0
-    for rows in read_planned(spark, file_loads(footer), plan, best_effort):
+    for rows in read_planned(spark, file_loads(footer), plan, best_effort, lossless):
         entry = lake.stage(name, rows, "APPEND", tables={name: entry})
         added += 1
     if not added:

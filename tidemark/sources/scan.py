@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
@@ -53,6 +54,14 @@ def scan(
     return df if limit is None else df.limit(limit)
 
 
+# One statement at a time names its tables.
+_views = threading.RLock()
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
+
+
 def query(
     spark: SparkSession,
     sql: str,
@@ -61,10 +70,23 @@ def query(
     params: Mapping[str, Any] | None = None,
     max_rows: int | None = None,
 ) -> DataFrame:
-    """Run SQL over the named tables, which become temporary views, with `$name` parameters bound by value."""
-    for name, source in (tables or {}).items():
-        as_table(spark, source).createOrReplaceTempView(name)
-    df = spark.sql(markers(sql), args=bound(sql, params or {}) or None)
+    """Run SQL over the named tables, with `$name` parameters bound by value.
+
+    The names are temporary views only while Spark analyses the statement; the session's own views of those names come back.
+    """
+    opened = {name: as_table(spark, source) for name, source in (tables or {}).items()}
+    with _views:
+        own = {name: spark.table(name) for name in opened if _is_view(spark, name)}
+        try:
+            for name, source in opened.items():
+                source.createOrReplaceTempView(name)
+            df = spark.sql(markers(sql), args=bound(sql, params or {}) or None)
+        finally:
+            for name in opened:
+                if name in own:
+                    own[name].createOrReplaceTempView(name)
+                else:
+                    spark.catalog.dropTempView(name)
     return df if max_rows is None else df.limit(max_rows)
 
 

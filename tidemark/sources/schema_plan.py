@@ -7,6 +7,7 @@ resolved by hand.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.numbers import widens
 from tidemark.functions.times import spark_pattern
 from tidemark.sinks.partitions import partition_spec
 from tidemark.session import written
@@ -28,6 +30,10 @@ NANOS = "timestamp_ns"
 FILES_PER_LOAD = 10_000
 
 
+class UnreadableFile(RuntimeError):
+    """A file whose footer cannot be read."""
+
+
 class SchemaConflict(ValueError):
     """The files disagree on a column's type and nobody has decided yet."""
 
@@ -160,24 +166,43 @@ def _ddl(choice: Mapping[str, Any]) -> str:
 
 
 def plan_table(
-    spark: SparkSession, patterns: str | Sequence[str], partitioned_by: str | Sequence[str] = ()
+    spark: SparkSession,
+    patterns: str | Sequence[str],
+    partitioned_by: str | Sequence[str] = (),
+    continue_on_error: bool = False,
 ) -> TablePlan:
-    """Infer a table from the footers of all files; columns are united by name, in the order of the files."""
+    """Infer a table from the footers of all files; columns are united by name, in the order of the files.
+
+    An unreadable file is an error unless `continue_on_error`, which plans from the others and warns.
+    """
     fields = tuple(f"{f.name}({f.buckets}, {f.column})" if f.buckets else f"{f.name}({f.column})"
                    for f in (partition_spec(partitioned_by) if partitioned_by else []))
     try:
         files = _spread(list_files(spark, patterns))
     except AnalysisException as error:
         raise FileNotFoundError(f"no file under {patterns}") from error
-    found = column_types(footers(files)).orderBy("position", "column").collect()
+    footer = written(footers(files), "footers")
+    found = column_types(footer).orderBy("position", "column").collect()
     if not found:
         raise FileNotFoundError(f"no readable Parquet file under {patterns}")
+    check_readable(footer, continue_on_error)
     columns = tuple(
         PlannedColumn(row["column"], tuple(row["types"]), None if row["conflict"] else row["types"][0]) for row in found
     )
     return TablePlan(columns, fields)
 
 
+def check_readable(footer: DataFrame, continue_on_error: bool) -> None:
+    """Raise at a file whose footer cannot be read, or say how many there are."""
+    bad = footer.filter(F.col("error").isNotNull()).select("path", "error")
+    first = bad.first()
+    if first is None:
+        return
+    if not continue_on_error:
+        raise UnreadableFile(f"{first['path']}: {first['error']}")
+    warnings.warn(f"left out {bad.count()} unreadable files, {first['path']} among them", stacklevel=3)
+
+
 def _spread(files: DataFrame) -> DataFrame:
     """Footer reads are many small requests: share them out evenly over the cores."""
     return files.repartition(files.sparkSession.sparkContext.defaultParallelism, "path")
@@ -219,11 +244,16 @@ def _as(column: PlannedColumn, stored: str, target: T.DataType) -> Column:
 
 
 def read_planned(
-    spark: SparkSession, loads: Iterable[tuple[Shape, list[str]]], plan: TablePlan, best_effort: bool = False
+    spark: SparkSession,
+    loads: Iterable[tuple[Shape, list[str]]],
+    plan: TablePlan,
+    best_effort: bool = False,
+    lossless: bool = False,
 ) -> Iterator[DataFrame]:
     """The loads as frames of the planned table: each read with its own schema, then cast.
 
-    A column the plan lacks is an error unless `best_effort`; a planned column a file lacks is null.
+    A column the plan lacks is an error unless `best_effort`; a planned column a file lacks is null. With `lossless` a file
+    whose type the planned one does not hold in full is a conflict.
     """
     schema = plan.schema()
     planned = {column.name: column for column in plan.columns}
@@ -238,6 +268,10 @@ def read_planned(
                 for name in used
             ]
         )
+        narrowed = [n for n in used if stored[n] == NANOS or not widens(physical[n].dataType, schema[n].dataType)]
+        if lossless and narrowed:
+            kinds = ", ".join(f"{n} ({stored[n]} into {schema[n].dataType.simpleString()})" for n in narrowed)
+            raise SchemaConflict(f"{paths[0]}: a plan must say how to convert {kinds}")
         df = spark.read.schema(physical).parquet(*paths)
         columns = [
             _as(planned[f.name], stored[f.name], f.dataType) if f.name in stored else F.lit(None).cast(f.dataType)
@@ -247,10 +281,18 @@ def read_planned(
 
 
 def read_files_as(
-    spark: SparkSession, patterns: str | Sequence[str], plan: TablePlan, best_effort: bool = False
+    spark: SparkSession,
+    patterns: str | Sequence[str],
+    plan: TablePlan,
+    best_effort: bool = False,
+    continue_on_error: bool = False,
 ) -> DataFrame:
-    """All files below the patterns as one table of the planned schema."""
+    """All files below the patterns as one table of the planned schema.
+
+    An unreadable file is an error unless `continue_on_error`, which warns and reads the others.
+    """
     footer = written(footers(_spread(list_files(spark, patterns))), "footers")  # sorted below: read each footer once
+    check_readable(footer, continue_on_error)
     empty = spark.createDataFrame([], plan.schema())
     return reduce(DataFrame.unionByName, read_planned(spark, file_loads(footer), plan, best_effort), empty)
 

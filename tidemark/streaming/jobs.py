@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.diffs import apply_changes, latest_changes
@@ -65,6 +66,24 @@ def batch_folder(target: str, number: int) -> str:
     return f"{target}/batch={number}"
 
 
+def claim(spark: SparkSession, target: str, checkpoint: str) -> None:
+    """Bind a target to the checkpoint that fills it: batch numbers of another would replace its folders."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_checkpoint")
+    store = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(marker):
+        out = store.create(marker, False)
+        out.write(bytearray(checkpoint.encode()))
+        out.close()
+        return
+    stream = store.open(marker)
+    try:
+        owner = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    if owner != checkpoint:
+        raise ValueError(f"{target} is filled from checkpoint {owner}; take another target")
+
+
 def windowed_stats(
     df: DataFrame, ts: str, key: str, value: str, target: str, checkpoint: str, width: str = "1 hour", late: str = "1 hour"
 ) -> DataFrame:
@@ -85,9 +104,9 @@ def windowed_stats(
         )
         .select(F.col("window.start").alias("start"), key, *STATS)
     )
+    claim(df.sparkSession, target, checkpoint)
     each_batch(stats, checkpoint, lambda b, n: b.write.mode("overwrite").parquet(batch_folder(target, n)), "update")
-    spark = df.sparkSession
-    history = spark.read.option("basePath", target).parquet(target)
+    history = read_batches(df.sparkSession, target, stats.schema)
     return history.groupBy("start", key).agg(F.max_by(F.struct(*STATS), "batch").alias("last")).select(
         "start", key, "last.*"
     )
@@ -96,8 +115,9 @@ def windowed_stats(
 def first_per_key(df: DataFrame, keys: Sequence[str], ts: str, target: str, checkpoint: str, late: str) -> DataFrame:
     """Keep the first row of each key within the watermark. Unlike the batch dedupe it cannot wait for the highest value."""
     kept = df.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
+    claim(df.sparkSession, target, checkpoint)
     each_batch(kept, checkpoint, lambda b, n: b.write.mode("overwrite").parquet(batch_folder(target, n)))
-    return df.sparkSession.read.option("basePath", target).parquet(target).drop("batch")
+    return read_batches(df.sparkSession, target, kept.schema).drop("batch")
 
 
 def best_per_key(df: DataFrame, keys: Sequence[str], best: str, target: str, checkpoint: str) -> DataFrame:
@@ -106,8 +126,9 @@ def best_per_key(df: DataFrame, keys: Sequence[str], best: str, target: str, che
     def work(batch: DataFrame, number: int) -> None:
         keep_best(batch, keys, best).write.mode("overwrite").parquet(batch_folder(target, number))
 
+    claim(df.sparkSession, target, checkpoint)
     each_batch(df, checkpoint, work)
-    return keep_best(read_batches(df.sparkSession, target).drop("batch"), keys, best)
+    return keep_best(read_batches(df.sparkSession, target, df.schema).drop("batch"), keys, best)
 
 
 def merge_stream(
@@ -121,8 +142,9 @@ def merge_stream(
     def log(batch: DataFrame, number: int) -> None:
         latest_changes(batch, keys, order).write.mode("overwrite").parquet(batch_folder(target, number))
 
+    claim(changes.sparkSession, target, checkpoint)
     each_batch(changes, checkpoint, log)
-    feed = changes.sparkSession.read.option("basePath", target).parquet(target).drop("batch")
+    feed = read_batches(changes.sparkSession, target, changes.schema).drop("batch")
     return apply_changes(base, feed, keys, order)
 
 
@@ -144,9 +166,15 @@ def audit_stream(
         finally:
             held.unpersist()
 
+    for target in (good, bad, results):
+        claim(df.sparkSession, target, checkpoint)
     return each_batch(df, checkpoint, audit)
 
 
-def read_batches(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.option("basePath", target).parquet(target)
+def read_batches(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
+    """All batches with their number; with a `schema`, no rows where there is no batch yet."""
+    reader = spark.read.option("basePath", target)
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema, T.StructField("batch", T.IntegerType())]))
+    return reader.parquet(target)
 
