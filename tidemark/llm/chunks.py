@@ -24,6 +24,8 @@ from tidemark.session import written
 
 # Bytes of text in a chunk; a longer document is a chunk of its own.
 CHUNK_BYTES = 8 << 20
+# Bytes of text worked on at a time where each document is judged on its own; a longer document is a slice of its own.
+SLICE_BYTES = 2 << 20
 # Hashes that one bucket should hold.
 BUCKET_HASHES = 1 << 21
 # Above this the answer is a logarithm, eight steps for each doubling.
@@ -44,6 +46,17 @@ def give_back() -> None:
         trim(0)
 
 
+def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """The rows of `batch` in slices of few bytes of text, since temporary arrays take many times their text."""
+    lengths = pc.binary_length(batch.column(text).cast(pa.binary())).fill_null(0).to_numpy(zero_copy_only=False)
+    at = 0
+    while at < len(lengths):
+        take = max(1, int(np.searchsorted(np.cumsum(lengths[at:] + 1), SLICE_BYTES, "right")))
+        yield batch.slice(at, take)
+        give_back()
+        at += take
+
+
 def level(counts: np.ndarray) -> np.ndarray:
     """A count as one byte: itself up to EXACT, then a logarithm."""
     high = EXACT + np.ceil(8 * np.log2(np.maximum(counts, EXACT) / EXACT))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.chunks import small_batches
+from tidemark.llm.chunks import slices, small_batches
 from tidemark.llm.text import SPACES, hash_spans, lay, lower_ascii, mix
 from tidemark.llm.vocabulary import Memo, gather
 
@@ -134,7 +134,7 @@ def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, length: int,
             return out
 
         memo = Memo(encode)
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in slices(whole_batch, text)):
             data, starts = lay(batch.column(text))
             low, begin, stop, odd = parts_of(data)
             hashes = mix(hash_spans(low, begin, stop) + odd)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.chunks import small_batches
+from tidemark.llm.chunks import slices, small_batches
 from tidemark.llm.linear import Adam, bounded, labelled, sigmoid
 from tidemark.llm.text import Words, covered, lay, mix, rolling
 
@@ -151,7 +151,7 @@ def report_quality(
     model = fit(docs, labels, key, text, label)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text)):
             yield pa.RecordBatch.from_pydict({key: batch.column(key)} | {k: pa.array(v) for k, v in judged(batch, text, model, threshold).items()})
 
     kind = docs.schema[key].dataType.simpleString()
@@ -165,7 +165,7 @@ def keep_good(
     model = fit(docs, labels, key, text, label)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text)):
             yield batch.filter(pa.array(judged(batch, text, model, threshold)["kept"]))
 
     return docs.mapInArrow(work, docs.schema)
