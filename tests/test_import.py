@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -10,7 +11,15 @@ from tidemark.plans.versions import Lake, UnknownTable, VersionConflict
 from tidemark.sources import importer
 from tidemark.sources.files import list_files, read_files, read_prefix
 from tidemark.sources.importer import import_files
-from tidemark.sources.schema_plan import SchemaConflict, UnreadableFile, file_loads, footers, plan_table, read_files_as
+from tidemark.sources.schema_plan import (
+    SchemaConflict,
+    TablePlan,
+    UnreadableFile,
+    file_loads,
+    footers,
+    plan_table,
+    read_files_as,
+)
 
 
 def store(folder, name, **columns):
@@ -198,3 +207,23 @@ def test_plans_and_reads_stop_at_an_unreadable_file(spark, tmp_path):
         read_files_as(spark, str(tmp_path / "d"), plan)
     with pytest.warns(UserWarning, match="left out 1 unreadable"):
         assert read_files_as(spark, str(tmp_path / "d"), plan, continue_on_error=True).count() == 1
+
+
+def test_plan_survives_as_an_edited_document(spark, folder):
+    store(folder, "a", id=pa.array([1], pa.int32()), at=pa.array(["2024/03/01"]))
+    store(folder, "b", id=pa.array([2], pa.int64()), at=pa.array(["2024/03/02"]))
+    plan = plan_table(spark, f"{folder}/*.parquet", "bucket(4, id)")
+    stored = json.loads(json.dumps(plan.document()))
+    assert TablePlan.from_document(stored) == plan and plan.conflicts == ["id"]
+    stored["columns"][0]["chosen"] = "long"
+    stored["columns"][1] |= {"chosen": "timestamp", "parse_format": "%Y/%m/%d"}
+    edited = TablePlan.from_document(stored)
+    assert [(c.chosen, c.parse_format) for c in edited.columns] == [("bigint", None), ("timestamp", "%Y/%m/%d")]
+    assert edited.partitioned_by == plan.partitioned_by and TablePlan.from_document(edited.document()) == edited
+    rows = read_files_as(spark, f"{folder}/*.parquet", edited).orderBy("id").collect()
+    assert [(r.id, str(r.at)) for r in rows] == [(1, "2024-03-01 00:00:00"), (2, "2024-03-02 00:00:00")]
+    stored["columns"][0]["chosen"] = "no such type"
+    with pytest.raises(Exception, match="(?i)no|syntax"):
+        TablePlan.from_document(stored)
+    with pytest.raises(ValueError, match="partition column"):
+        TablePlan.from_document({**plan.document(), "partitioned_by": ["day(other)"]})

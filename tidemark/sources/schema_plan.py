@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterable, Iterator, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 from typing import Any
 
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.numbers import widens
 from tidemark.functions.times import spark_pattern
-from tidemark.sinks.partitions import partition_spec
+from tidemark.sinks.partitions import Transform, partition_spec
 from tidemark.session import written
 from tidemark.sources.files import list_files
 
@@ -150,6 +150,33 @@ class TablePlan:
             columns.append(column)
         return replace(self, columns=tuple(columns))
 
+    def document(self) -> dict[str, Any]:
+        """The plan as plain values, to be stored as JSON or YAML, edited and read back with `from_document`."""
+        return {
+            "columns": [{**asdict(column), "found": list(column.found)} for column in self.columns],
+            "partitioned_by": list(self.partitioned_by),
+        }
+
+    @classmethod
+    def from_document(cls, document: Mapping[str, Any]) -> TablePlan:
+        """The plan of an edited document. Types chosen there are checked as `resolve` checks them; null stays a conflict."""
+        columns = tuple(PlannedColumn(c["name"], tuple(c.get("found") or ()), None) for c in document["columns"])
+        choices = {
+            c["name"]: {
+                "datatype": c["chosen"],
+                "timezone": "UTC" if c["chosen"].lower() == "timestamp" else None,
+                "parse_format": c.get("parse_format"),
+                "truncate_nanos": c.get("truncate_nanos"),
+            }
+            for c in document["columns"]
+            if c.get("chosen")
+        }
+        spec = partition_spec(document.get("partitioned_by") or [])
+        unknown = {f.column for f in spec} - {c.name for c in columns}
+        if unknown:
+            raise ValueError(f"partition column not in the plan: {', '.join(sorted(unknown))}")
+        return cls(columns, _fields(spec)).resolve(choices)
+
     def schema(self) -> T.StructType:
         if self.conflicts:
             raise SchemaConflict(f"plan has schema conflicts: {', '.join(self.conflicts)}; resolve them first")
@@ -158,6 +185,10 @@ class TablePlan:
         )
 
 
+def _fields(spec: Sequence[Transform]) -> tuple[str, ...]:
+    return tuple(f"{f.name}({f.buckets}, {f.column})" if f.buckets else f"{f.name}({f.column})" for f in spec)
+
+
 def _ddl(choice: Mapping[str, Any]) -> str:
     kind = choice["datatype"].lower()
     if kind == "timestamp":
@@ -175,8 +206,7 @@ def plan_table(
 
     An unreadable file is an error unless `continue_on_error`, which plans from the others and warns.
     """
-    fields = tuple(f"{f.name}({f.buckets}, {f.column})" if f.buckets else f"{f.name}({f.column})"
-                   for f in (partition_spec(partitioned_by) if partitioned_by else []))
+    fields = _fields(partition_spec(partitioned_by) if partitioned_by else [])
     try:
         files = _spread(list_files(spark, patterns))
     except AnalysisException as error:
