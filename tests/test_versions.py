@@ -303,3 +303,26 @@ def test_overwrite_refuses_another_partitioning(spark, tmp_path):
     with pytest.raises(ValueError, match="partitioned by"):
         lake.publish({"t": new}, strategy="OVERWRITE_PARTITIONS", partitioned_by=["name"], overwrite_filter="name = 'a'")
     assert [tuple(r) for r in lake.read("t").collect()] == [("a", 1)]
+
+
+def test_tables_of_one_publish_are_written_each_in_its_own_way(lake, numbers):
+    lake.publish({"log": numbers})
+    own = {"log": {"strategy": "APPEND"}, "n": {"partitioned_by": "part"}, "m": {"partitioned_by": "bucket(2, id)"}}
+    assert lake.publish({"log": numbers, "n": numbers, "m": numbers}, options=own) == 2
+    entries = lake.record()["tables"]
+    assert [entries[x]["partitioned_by"] for x in ("log", "n", "m")] == [[], ["identity(part)"], ["bucket(2, id)"]]
+    assert [lake.read(x).count() for x in ("log", "n", "m")] == [20, 10, 10]
+    with pytest.raises(ValueError, match="not published: other"):
+        lake.publish({"n": numbers}, options={"other": {"strategy": "APPEND"}})
+
+
+def test_a_line_at_a_time(lake, numbers):
+    lake.publish({"n": numbers})
+    side = lake.fork("side")
+    time.sleep(0.05)
+    between = dt.datetime.now(dt.timezone.utc).isoformat()
+    time.sleep(0.05)
+    side.publish({"n": numbers.limit(1)})
+    assert lake.read("n", f"side*{between}").count() == 10 and lake.read("n", "side").count() == 1
+    with pytest.raises(UnknownVersion):
+        lake.read("n", "side*2001-01-01")
