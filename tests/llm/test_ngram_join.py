@@ -81,6 +81,13 @@ def test_one_of_each_keeps_columns(spark):
     assert kept == sorted({c for _, _, c in brute(rows, 3, 90)}) + [900, 901]
 
 
+def test_one_of_each_of_null_and_repeated_keys(spark):
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(7)]
+    rows = [(None, t) for t in texts[:3]] + [(5, t) for t in texts[3:6]] + [(6, texts[6]), (None, texts[0]), (5, texts[3]), (5, texts[6])]
+    got = one_of_each(frame(spark, rows), size=3, percent=90).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([*rows[:6], (5, texts[6])], key=str)
+
+
 def test_components_of_a_long_chain(spark):
     links = [(str(i).zfill(3), str(i + 1).zfill(3)) for i in range(200)] + [("b", "a"), ("a", "a"), ("c", "b")]
     got = components(spark.createDataFrame(links, "a string, b string")).collect()

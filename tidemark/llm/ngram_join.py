@@ -188,10 +188,11 @@ def links_of(heads: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     return links.union(verified(rest, heads, percent, scratch))
 
 
-def join_by_jaccard(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT
-) -> tuple[DataFrame, DataFrame]:
-    """(chunks, rows): rows have loc, key, n_shingles and component_id, the smallest key reachable by links, itself included."""
+def parted(docs: DataFrame, key: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(chunks, rows): rows have loc, key, n_shingles, component_id and part, the smallest node of the component.
+
+    The part names the component itself: component_id does not, as keys may be null or repeat.
+    """
     work, kept = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
     chunks, heads = heads_of(docs, key, text, size, percent, work)
     label = components(work.lay(links_of(heads, percent, work), "links"))
@@ -200,16 +201,24 @@ def join_by_jaccard(
     classes = heads.filter("n > 0").groupBy("node").agg(F.min(key).alias("least"))
     classes = classes.join(label, "node", "left").withColumn("part", F.coalesce("part", "node"))
     groups = classes.groupBy("part").agg(F.min("least").alias("component_id"))
-    found = classes.join(groups, "part").select("node", "component_id")
+    found = classes.join(groups, "part").select("node", "component_id", "part")
     rows = heads.select("loc", key, F.col("n").alias("n_shingles"), "node").join(found, "node", "left")
     own = F.when(F.col("n_shingles") == 0, F.col(key)).otherwise(F.col("component_id"))
-    return chunks, rows.select("loc", key, "n_shingles", own.alias("component_id"))
+    return chunks, rows.select("loc", key, "n_shingles", own.alias("component_id"), "part")
+
+
+def join_by_jaccard(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT
+) -> tuple[DataFrame, DataFrame]:
+    """(chunks, rows): rows have loc, key, n_shingles and component_id, the smallest key reachable by links, itself included."""
+    chunks, rows = parted(docs, key, text, size, percent)
+    return chunks, rows.drop("part")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """`docs` with one row of each component, that of the smallest key; rows without words all stay."""
-    chunks, rows = join_by_jaccard(docs, key, text, size, percent)
-    worded = rows.filter("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct(key, "loc")).alias("m")).select("m.loc")
+    chunks, rows = parted(docs, key, text, size, percent)
+    worded = rows.filter("n_shingles > 0").groupBy("part").agg(F.min(F.struct(key, "loc")).alias("m")).select("m.loc")
     kept = worded.union(rows.filter("n_shingles = 0").select("loc")).select(F.split("loc", ":").alias("at"))
     kept = kept.groupBy(F.col("at")[0].alias("chunk")).agg(F.collect_list(F.col("at")[1].cast("int")).alias("rows"))
     names, schema = docs.columns, to_arrow_schema(docs.schema)
