@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tests.llm.corpus import awkward, frame
-from tidemark.llm import language, quality, toxicity
+from tidemark.llm import language, linear, quality, toxicity
 from tidemark.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -90,6 +90,22 @@ def test_language_edges(spark):
     assert language.identify(docs.limit(0)).collect() == []
 
 
+def test_limits_come_from_all_training_rows(spark):
+    rows = [(i, "the cat sat on the mat and the dog " * (1 + i % 5), "en") for i in range(400)]
+    rows += [(1000 + i, "der hund und die katze auf der matte " * (1 + i), "de") for i in range(3)]
+    docs = spark.createDataFrame([*rows, (2000, "12 34", "de")], "key long, text string, lang string")
+    model, _, limits = language.train(docs, 20)
+    scored = language.Scorer(model).entropies([t for _, t, _ in rows])[0]
+    own = [scored[:400, model.names.index("en")], scored[400:, model.names.index("de")]]
+    want = {n: e.mean() + language.FAR * e.std() + 0.5 for n, e in zip(("en", "de"), own)}
+    assert np.allclose(limits, [want[n] for n in model.names], atol=1e-3)
+
+
+@pytest.mark.parametrize("n", [2999, 3000, 3001, 3980, 10000])
+def test_bounded_sample_is_as_large_as_it_may(spark, n):
+    assert abs(linear.bounded(spark.range(n).withColumnRenamed("id", "key"), 3000).count() - min(n, 3000)) < 200
+
+
 def test_chances_of_a_context_sum_to_one(spark):
     codes, _, _ = language.grams(["the cat sat on the mat", "a cat"], language.letter_classes())
     code, count = np.unique(codes, return_counts=True)

@@ -3,8 +3,8 @@
 Characters become 63 classes of letters and one of everything between words; every run of four is counted per language over all
 training rows, in Spark. From these counts come, per language, discounted four-grams and the continuation counts of shorter ones.
 A text's language is that of the lowest cross-entropy per character. A softmax over the differences, whose sharpness is fitted on
-a bounded sample of training rows (`SAMPLE`), gives the score; texts far beyond the entropies usual in their language are marked
-rejected.
+a bounded sample of training rows (`SAMPLE`), gives the score; texts far beyond the entropies usual in their language, by mean and
+deviation over all training rows, are marked rejected.
 
 Null texts and texts without a letter are `und` with score 0, as is every text if nothing can be learnt. Equal entropies go to the
 name that sorts first.
@@ -31,6 +31,8 @@ MOST_LANGUAGES = 250
 SAMPLE = 1000
 # Standard deviations above a language's usual entropy from which a text is rejected.
 FAR = 6.0
+# Steps per nat in which entropies are summed.
+STEPS = 1 << 16
 UND = "und"
 CODES = 1 << 24
 
@@ -179,6 +181,29 @@ def certainty(entropies: np.ndarray, sharpness: float) -> np.ndarray:
     return gap / gap.sum(axis=1, keepdims=True)
 
 
+def limits_of(rows: DataFrame, model: Model) -> np.ndarray:
+    """The entropy from which each language rejects, by mean and deviation over all rows (text, lang) that hold letters."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, number = Scorer(model), {x: i for i, x in enumerate(model.names)}
+        for batch in batches:
+            found, lettered = scorer.entropies(batch.column("text").to_pylist())
+            truth = np.array([number[x] for x in batch.column("lang").to_pylist()], np.int64)[lettered]
+            own = np.rint(found[lettered, truth] * STEPS).astype(np.int64)
+            langs = np.unique(truth)
+            parts = [own[truth == i] for i in langs]
+            sums = ([len(x) for x in parts], [int(x.sum()) for x in parts], [int((x * x).sum()) for x in parts])
+            yield pa.RecordBatch.from_pydict(dict(zip(("lang", "n", "s", "q"), map(pa.array, (langs, *sums), [pa.int64()] * 4))))
+
+    got = rows.select("text", "lang").mapInArrow(work, "lang long, n long, s long, q long").groupBy("lang")
+    # whole numbers, so that the limits do not depend on the order in which tasks end
+    got = got.agg(*[F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in "nsq"])
+    limits = np.full(len(model.names), np.inf)
+    for lang, n, s, q in [(r.lang, int(r.n), int(r.s), int(r.q)) for r in got.collect()]:
+        limits[lang] = (s / n + FAR * (n * q - s * s) ** 0.5 / n) / STEPS + 0.5
+    return limits
+
+
 def train(rows: DataFrame, sample: int) -> tuple[Model, float, np.ndarray] | None:
     """From rows (key, text, lang): the model, the sharpness of its scores, and the entropy from which each language rejects."""
     names = [r.lang for r in rows.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()]
@@ -195,15 +220,14 @@ def train(rows: DataFrame, sample: int) -> tuple[Model, float, np.ndarray] | Non
             own = pa.array([x.tobytes() for x in found], pa.binary())
             yield pa.RecordBatch.from_pydict({"lang": batch.column("lang"), "e": own}).filter(pa.array(lettered))
 
+    limits = limits_of(rows, model)
     got = bounded(rows, sample).mapInArrow(work, "lang string, e binary").toArrow()
     if not got.num_rows:
-        return model, 1.0, np.full(len(names), np.inf)
+        return model, 1.0, limits
     found = np.array([np.frombuffer(e) for e in got.column("e").to_pylist()])
     truth = np.array([names.index(x) for x in got.column("lang").to_pylist()])
     loss = {s: -np.log(certainty(found, s)[np.arange(len(truth)), truth] + 1e-12).mean() for s in 2.0 ** np.arange(0, 8)}
-    own = found[np.arange(len(truth)), truth]
-    limits = [own[truth == i].mean() + FAR * own[truth == i].std() + 0.5 if (truth == i).any() else np.inf for i in range(len(names))]
-    return model, min(loss, key=loss.get), np.array(limits)
+    return model, min(loss, key=loss.get), limits
 
 
 def identify(

@@ -20,8 +20,11 @@ def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
 
 def bounded(rows: DataFrame, bound: int) -> DataFrame:
     """About `bound` of the rows, all if there are fewer, chosen by a hash of their key."""
-    share = max(1, -(-rows.count() // bound))
-    return rows.filter(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(share)) == 0)
+    n = rows.count()
+    if n <= bound:
+        return rows
+    # the lowest bound / n of the hash's range
+    return rows.filter(F.xxhash64("key", F.lit(7)) < F.lit((bound << 64) // n - (1 << 63)))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
