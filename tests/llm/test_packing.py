@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -62,6 +62,14 @@ def test_ids_and_layout(spark, length, group):
     checked(rows, got, length, 0.35)
 
 
+def test_equal_rows_of_one_key_spread_over_batches(spark):
+    rows = [(7, "the same text")] * 2000
+    with open(public_file("word_bpe_49k.json"), encoding="utf-8") as file:
+        got = pack(frame(spark, rows), file.read(), group=50).collect()
+    checked(rows, got, 2048, 40)
+    assert max(Counter(r.sequence_id >> 32 for r in got).values()) < 150
+
+
 def test_empty_table(spark):
     with open(public_file("word_bpe_49k.json"), encoding="utf-8") as file:
         assert pack(frame(spark, []), file.read()).collect() == []

@@ -2,7 +2,8 @@
 
 A document's tokens, with an end token behind them, are cut into full sequences and one rest. Rests of a random group are taken
 longest first; a tournament tree over the bins' free room finds the first bin that a rest fits in logarithmic time. Groups are
-dealt by a hash of the document's key and row, so hot sources spread and no group grows with the corpus.
+dealt by a hash of the document's key, text, task and number among the task's equal rows, so hot sources and copies spread and no
+group grows with the corpus.
 
 Null and empty texts are just the end token. Repeated rows are packed as often as they occur.
 """
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,7 +102,9 @@ def parts_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 
 def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, length: int, end: int) -> DataFrame:
-    """Per piece of a document: key, start, length, ids_crc32 and doc_tokens. `tokenizer` is the file's content.
+    """Per piece of a document: key, start, length, ids_crc32, doc_tokens and deal. `tokenizer` is the file's content.
+
+    `deal` is a number of the document's row, of its text, its task and which of the task's equal rows it is.
 
     It must be a lower-casing BPE tokenizer that splits into letters, single digits and signs and drops white space. Each different
     part is encoded once per task.
@@ -134,6 +138,7 @@ def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, length: int,
             return out
 
         memo = Memo(encode)
+        place, copies = TaskContext.get().partitionId(), {}
         for batch in (part for whole_batch in batches for part in slices(whole_batch, text)):
             data, starts = lay(batch.column(text))
             low, begin, stop, odd = parts_of(data)
@@ -141,20 +146,27 @@ def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, length: int,
             places = memo.look_up(hashes, low, begin, stop, np.where(odd, b"\n", b""))
             lengths, ids = gather(memo.first, memo.values, places)
             edges = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(begin, starts)]
-            rows = {"owner": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": []}
+            rows = {"owner": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": [], "deal": []}
+            keys = batch.column(key).to_pylist()
             tail = np.array([end], "<u4")
             for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
                 own = np.concatenate([ids[a:b].astype("<u4"), tail])
+                whole_crc = zlib.crc32(own)
+                # equal rows of a task are numbered, which a repeated task does alike in whatever order they come
+                same = hash((keys[i], whole_crc, len(own)))
+                copy = copies[same] = copies.get(same, -1) + 1
+                deal = ((place * 0x9E3779B1 + copy) & 0x7FFFFFFF) << 32 | whole_crc
                 for at in range(0, len(own), length):
                     piece = own[at : at + length]
-                    for name, x in zip(rows, (i, at, len(piece), zlib.crc32(piece), len(own))):
+                    for name, x in zip(rows, (i, at, len(piece), zlib.crc32(piece), len(own), deal)):
                         rows[name].append(x)
             owner = pa.array(rows.pop("owner"), pa.int64())
             made = {key: batch.column(key).take(owner)} | {k: pa.array(v, pa.int64()) for k, v in rows.items()}
             yield pa.RecordBatch.from_pydict(made)
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(work, f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long")
+    schema = f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, deal long"
+    return docs.select(key, text).mapInArrow(work, schema)
 
 
 def pack(
@@ -164,9 +176,9 @@ def pack(
     n = docs.count()
     groups = max(1, -(-n // group))
     pieces = tokenized(docs, tokenizer, key, text, length, end)
-    # the piece's checksum spreads the rows of a key that very many rows share
-    salt = F.xxhash64(F.col(key).cast("string"), "doc_tokens", F.when(F.col(key).isNull(), F.col("ids_crc32")))
-    pieces = pieces.withColumn("batch", F.pmod(salt, F.lit(groups)))
+    # the row's own number spreads the rows of a key that very many rows share, equal ones too
+    salt = F.xxhash64(F.col(key).cast("string"), "deal")
+    pieces = pieces.withColumn("batch", F.pmod(salt, F.lit(groups))).drop("deal")
     kind = docs.schema[key].dataType.simpleString()
 
     def fill(table: pa.Table) -> pa.Table:
