@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import benchmark, language, ngram_join, packing, quality, suffixes, tokens, toxicity, urls, windows
+from tidemark.llm import alignment, benchmark, hyperminhash, language, ngram_join, packing, quality, suffixes, tokens, toxicity, urls, windows
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,14 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op12_hyperminhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return hyperminhash.find_near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
+
+
+@query
+def op13_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    with open(public_file("byte_bpe_50k.json"), encoding="utf-8") as one, open(public_file("piece_bpe_32k.model"), "rb") as two:
+        return alignment.align_tokenizers(table(spark, folder, "documents"), one.read(), two.read())[0]
