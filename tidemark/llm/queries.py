@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import alignment, benchmark, hyperminhash, language, ngram_join, packing, quality, suffixes, tokens, toxicity, urls, windows
+from tidemark.llm import alignment, benchmark, hyperminhash, language, ngram_join, packing, quality, search, suffixes, tokens, toxicity, urls, windows
 from tidemark.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,34 @@ def op12_hyperminhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op13_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     with open(public_file("byte_bpe_50k.json"), encoding="utf-8") as one, open(public_file("piece_bpe_32k.model"), "rb") as two:
         return alignment.align_tokenizers(table(spark, folder, "documents"), one.read(), two.read())[0]
+
+
+ORACLES["op11_ranked_search"] = r"""
+WITH d AS (
+  SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') if x <> ''] AS w FROM documents
+), i AS (
+  SELECT item_id, unnest(list_distinct([x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') if x <> ''])) AS t FROM benchmark
+), whole AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0
+), tf AS (
+  SELECT doc_id, n, t, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM i) GROUP BY doc_id, n, t
+), df AS (
+  SELECT t, count(*) AS df FROM tf GROUP BY t
+), part AS (
+  SELECT doc_id, t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+           * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))) AS s
+  FROM tf JOIN df USING (t), whole
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(s) AS BIGINT) AS score FROM part JOIN i USING (t) GROUP BY item_id, doc_id HAVING sum(s) > 0
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+
+@query
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

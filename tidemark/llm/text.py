@@ -108,9 +108,9 @@ def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
 class Words:
     """The words of laid-out texts: byte range and hash of each, and the range of words of each text."""
 
-    def __init__(self, data: np.ndarray, starts: np.ndarray, hashed: bool = True):
+    def __init__(self, data: np.ndarray, starts: np.ndarray, hashed: bool = True, gaps: Sequence[int] = SPACES):
         gap = np.zeros(256, bool)
-        gap[list(SPACES)] = True
+        gap[list(gaps)] = True
         inside = np.zeros(len(data) + 2, bool)
         np.logical_not(gap[data], out=inside[1:-1])
         edges = np.flatnonzero(inside[1:] != inside[:-1])
