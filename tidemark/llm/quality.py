@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tidemark.llm.chunks import slices, small_batches
@@ -29,7 +30,9 @@ MOST_REPEATED_PERCENT = 30
 SYMBOLS = b"#*$%&|<>"
 # Probability of good quality from which a text is kept.
 THRESHOLD = 0.3
-ROUNDS = 250
+# Passes over the fitted rows, and rows in each step.
+ROUNDS = 60
+STEP_ROWS = 512
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 
 
@@ -110,23 +113,44 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sam
 
     rows = bounded(labelled(docs, labels, key, text, label), sample)
     got = rows.orderBy("key").mapInArrow(work, "label int, places binary, values binary").toArrow()
+    # a fifth, held back to calibrate, comes last; rows stay sparse, as the dense table would take 50 kB for each
+    got = got.take(np.random.default_rng(7).permutation(got.num_rows))
     y = got.column("label").to_numpy().astype(np.float32)
     if len(np.unique(y)) < 2:
         return np.zeros(3 * BUCKETS, np.float32), 0.0, 30.0
-    x = np.zeros((len(y), 3 * BUCKETS), np.float32)
-    for i, (p, v) in enumerate(zip(got.column("places").to_pylist(), got.column("values").to_pylist())):
-        x[i, np.frombuffer(p, "<u2")] = np.frombuffer(v, "<f4")
-    held = np.arange(len(y)) % 5 == 4
-    scale = 1 / (x[~held].std(axis=0) + 1e-3)
-    x *= scale
-    fitted, y_fitted = x[~held], y[~held]
-    w, b = np.zeros(x.shape[1], np.float32), np.zeros(1, np.float32)
+    first = np.concatenate([[0], np.cumsum(pc.binary_length(got.column("places")).to_numpy() // 2)])
+    places = np.frombuffer(b"".join(got.column("places").to_pylist()), "<u2")
+    values = np.frombuffer(b"".join(got.column("values").to_pylist()), "<f4").copy()
+    del got
+    n = len(y) - len(y) // 5
+
+    def column_sums(upto: int, power: int) -> np.ndarray:
+        total = np.zeros(3 * BUCKETS)
+        for at in range(0, upto, STEP_ROWS):
+            part = slice(first[at], first[min(at + STEP_ROWS, upto)])
+            total += np.bincount(places[part], values[part] ** power, 3 * BUCKETS)
+        return total
+
+    spread = np.sqrt(np.maximum(column_sums(n, 2) / n - (column_sums(n, 1) / n) ** 2, 0))
+    scale = (1 / (spread + 1e-3)).astype(np.float32)
+    for at in range(0, len(values), 1 << 20):
+        values[at : at + (1 << 20)] *= scale[places[at : at + (1 << 20)]]
+
+    def margins(a: int, b: int, w: np.ndarray) -> np.ndarray:
+        run = np.concatenate([[0.0], np.cumsum(values[first[a] : first[b]] * w[places[first[a] : first[b]]], dtype=np.float64)])
+        return np.diff(run[first[a : b + 1] - first[a]])
+
+    w, b = np.zeros(3 * BUCKETS), np.zeros(1)
     steps = Adam([w, b], 0.02)
     for _ in range(ROUNDS):
-        error = (sigmoid(fitted @ w + b) - y_fitted) / len(y_fitted)
-        steps.step([fitted.T @ error + 1e-5 * w, error.sum(keepdims=True)])
+        for at in range(0, n, STEP_ROWS):
+            end = min(at + STEP_ROWS, n)
+            error = (sigmoid(margins(at, end, w) + b) - y[at:end]) / (end - at)
+            part = slice(first[at], first[end])
+            slope = np.bincount(places[part], values[part] * np.repeat(error, np.diff(first[at : end + 1])), 3 * BUCKETS)
+            steps.step([slope + 1e-5 * w, error.sum(keepdims=True)])
     # Platt: the held-back rows' scores to probabilities, with his targets short of 0 and 1
-    raw, truth = x[held] @ w, y[held]
+    raw, truth = margins(n, len(y), w), y[n:]
     up, down = truth.sum(), (1 - truth).sum()
     target = np.where(truth > 0, (up + 1) / (up + 2), 1 / (down + 2))
     ab = np.array([1.0, float(b[0])])
