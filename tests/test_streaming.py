@@ -88,3 +88,66 @@ def test_target_belongs_to_one_checkpoint_and_no_data_is_no_rows(spark, tmp_path
     assert first.columns == ["k", "v"] and first.count() == 0
     with pytest.raises(ValueError, match="another target"):
         jobs.best_per_key(stream, ["k"], "v", str(tmp_path / "out"), str(tmp_path / "c2"))
+
+
+def counted(spark, folder, n):
+    for i in range(n):
+        spark.createDataFrame([(i % 4, float(i), at(1, i))], "key int, value double, ts timestamp").coalesce(1).write.parquet(f"{folder}/in/{i:03d}")
+    return jobs.file_stream(spark, f"{folder}/in/*", "key int, value double, ts timestamp", files_per_batch=1)
+
+
+def test_fifty_batches_read_as_a_base_and_few_folders(spark, folder):
+    best = jobs.best_per_key(counted(spark, folder, 50), ["key"], "value", f"{folder}/out", f"{folder}/cp")
+    places = {f.partition("/out/")[2].rpartition("/")[0] for f in best.inputFiles()}
+    assert sum(p.startswith("_base") for p in places) == 1 and len(places) <= 1 + jobs.FOLD_EVERY + 1
+    assert {(r["key"], r["value"]) for r in best.select("key", "value").collect()} == {(0, 48.0), (1, 49.0), (2, 46.0), (3, 47.0)}
+
+
+@pytest.mark.parametrize("stage", ["reduce", "record"])
+def test_a_fold_that_dies_loses_nothing(spark, folder, monkeypatch, stage):
+    schema = spark.createDataFrame([], "key int, value long").schema
+    folded = jobs.Folded(spark, f"{folder}/t", schema, lambda rows: rows.groupBy("key").agg(F.sum("value").alias("value"), F.max("batch").alias("batch")), 3)
+
+    def write(n):
+        folded.write(spark.createDataFrame([(n % 2, 1)], schema), n)
+
+    def state():
+        return {r["key"]: r["value"] for r in folded.read().collect()}
+
+    for n in range(3):
+        write(n)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    # the fold before batch 3 is done for good dies while it writes its base, or before its record is there
+    if stage == "reduce":
+        monkeypatch.setattr(folded, "reduce", dies)
+    else:
+        monkeypatch.setattr(folded.records, "create", dies)
+    with pytest.raises(RuntimeError):
+        write(3)
+    monkeypatch.undo()
+    assert state() == {0: 2, 1: 2}
+    write(3)  # Spark repeats the batch
+    assert folded.last()[0] == 2 and state() == {0: 2, 1: 2}
+    write(3)  # and once more, after the fold
+    for n in range(4, 8):
+        write(n)
+    write(7)
+    assert folded.last()[0] == 5 and state() == {0: 4, 1: 4}
+    # a base without a record counts for nothing
+    spark.createDataFrame([(0, 99, 6)], "key int, value long, batch int").write.parquet(f"{folder}/t/_base/9999999999-x")
+    assert state() == {0: 4, 1: 4}
+    folded.expire()
+    assert state() == {0: 4, 1: 4} and folded.waiting(-1) == [6, 7]
+
+
+def test_a_claim_without_content_does_not_stay(spark, folder):
+    """A marker appears whole: what a lost driver left aside does not count."""
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{folder}/t/batch=0")
+    open(f"{folder}/t/_aside-lost", "w").close()
+    jobs.claim(spark, f"{folder}/t", "mine")
+    jobs.claim(spark, f"{folder}/t", "mine")
+    with pytest.raises(ValueError, match="another target"):
+        jobs.claim(spark, f"{folder}/t", "other")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,7 +86,7 @@ def mixed_files(t: Tables) -> str:
     shipped = F.date_format("l_shipdate", "yyyyMMddHHmmss").alias("shipped")
     lines = t.lineitem.select(*columns, shipped)
     lines.filter("l_returnflag = 'A'").withColumn("l_partkey", F.col("l_partkey").cast("int")).write.parquet(f"{root}/a")
-    lines.filter("l_returnflag <> 'A'").write.parquet(f"{root}/b")
+    lines.filter("l_returnflag IS DISTINCT FROM 'A'").write.parquet(f"{root}/b")
     return f"{root}/*/*.parquet"
 
 
@@ -144,9 +147,9 @@ def create_refuses_conflict(t: Tables) -> DataFrame:
 
 
 def order_files(t: Tables) -> str:
+    """Orders in one folder per status, whatever statuses there are."""
     root = t.scratch("order-files")
-    for status in ("O", "F", "P"):
-        short_orders(t).filter(F.col("o_orderstatus") == status).write.parquet(f"{root}/{status}")
+    short_orders(t).withColumn("status", F.col("o_orderstatus")).write.partitionBy("status").parquet(root)
     return root
 
 
@@ -187,7 +190,7 @@ def import_best_effort(t: Tables) -> DataFrame:
 def import_past_bad_file(t: Tables) -> DataFrame:
     lake, root = Lake(t.spark, t.scratch("lake")), order_files(t)
     importer.create_table(lake, "orders_raw", f"{root}/*/*.parquet")
-    broken = lake._fs.create(lake._path(f"{root}/O/broken.parquet"))
+    broken = lake._fs.create(lake._path(f"{root}/status=O/broken.parquet"))
     broken.write(bytearray(b"not a parquet file"))
     broken.close()
     status = importer.import_files(lake, "orders_raw", f"{root}/*/*.parquet", continue_on_error=True)
@@ -197,10 +200,47 @@ def import_past_bad_file(t: Tables) -> DataFrame:
     )
 
 
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def import_csv_once(t: Tables) -> DataFrame:
+    """Types found in the text of all rows; the second import finds nothing new."""
+    lake, files = Lake(t.spark, t.scratch("lake")), t.scratch("csv")
+    short_orders(t).write.option("header", True).csv(files)
+    importer.create_table(lake, "orders_raw", files, fmt="csv")
+    for _ in range(2):
+        importer.import_files(lake, "orders_raw", files, fmt="csv")
+    return lake.read("orders_raw").withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def import_jsonl_once(t: Tables) -> DataFrame:
+    lake, files = Lake(t.spark, t.scratch("lake")), t.scratch("jsonl")
+    short_orders(t).write.json(files)
+    importer.create_table(lake, "orders_raw", files, fmt="jsonl")
+    for _ in range(2):
+        importer.import_files(lake, "orders_raw", files, fmt="jsonl")
+    return lake.read("orders_raw")
+
+
+@query("SELECT 'l_partkey' AS conflict, COUNT(*) AS readable_rows, SUM(l_quantity) AS quantity FROM lineitem")
+def csv_conflict_resolved(t: Tables) -> DataFrame:
+    """One producer writes part keys as numbers, the other as text: a conflict found in the values, and read as text."""
+    root = t.scratch("csv")
+    lines = t.lineitem.select("l_orderkey", "l_quantity", F.col("l_partkey").cast("string").alias("l_partkey"), "l_returnflag")
+    text = F.concat(F.lit("P"), "l_partkey").alias("l_partkey")
+    lines.filter("l_returnflag = 'A'").drop("l_returnflag").write.option("header", True).csv(f"{root}/a")
+    other = lines.filter("l_returnflag IS DISTINCT FROM 'A'").select(text, "l_quantity", "l_orderkey")
+    other.write.option("header", True).csv(f"{root}/b")
+    plan = schema_plan.plan_table(t.spark, f"{root}/*", fmt="csv")
+    rows = schema_plan.read_files_as(t.spark, f"{root}/*", plan.resolve({"l_partkey": "string", "l_quantity": "double"}), fmt="csv")
+    return rows.agg(
+        F.lit(",".join(plan.conflicts)).alias("conflict"), F.count(F.lit(1)).alias("readable_rows"), F.sum("l_quantity").alias("quantity")
+    )
+
+
 @query("SELECT o_orderstatus, COUNT(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_orderstatus")
 def external_table(t: Tables) -> DataFrame:
     lake, root = Lake(t.spark, t.scratch("lake")), order_files(t)
-    lake.register_external("orders_ext", [f"{root}/O/*.parquet", f"{root}/F/*.parquet"])
+    lake.register_external("orders_ext", [f"{root}/status=[!P_]*/*.parquet"])
     return lake.read("orders_ext").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -270,6 +310,30 @@ def partition_transforms_prune(t: Tables) -> DataFrame:
     return lake.read("events", where=where)
 
 
+@query("SELECT event_id, user_id, value FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-08' AND user_id IS NOT NULL")
+def scan_prunes_day(t: Tables) -> DataFrame:
+    """SQL over a table with one folder per day; the filter on its own column decides which folder is read."""
+    lake = Lake(t.spark, t.scratch("lake"))
+    lake.publish({"events": t.events.select("event_id", "user_id", "value", "ts")}, partitioned_by="day(ts)")
+    return lake.query("SELECT event_id, user_id, value FROM events WHERE to_date(ts) = '2024-01-08' AND user_id IS NOT NULL")
+
+
+@query(
+    """SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS n, CAST(DAY(ts) AS INTEGER) AS run FROM events
+       GROUP BY ALL"""
+)
+def overwrite_thirty_days(t: Tables) -> DataFrame:
+    """Every day of a month overwritten in turn; what is read is one scan of the last folders."""
+    lake = Lake(t.spark, t.scratch("lake"))
+    daily = t.events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    lake.publish({"daily": daily.withColumn("run", F.lit(0))}, partitioned_by=["day"])
+    days = [r.day for r in lake.read("daily").select("day").distinct().orderBy("day").collect()]
+    for day in days:
+        rows = lake.scan("daily", at=1, filters="day = $day", params={"day": day}).withColumn("run", F.dayofmonth("day"))
+        lake.publish({"daily": rows}, strategy="OVERWRITE_PARTITIONS", overwrite_filter=f"day = '{day}'")
+    return lake.read("daily")
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10")
 def preview_head(t: Tables) -> DataFrame:
     return preview(t.orders.select("o_orderkey", "o_totalprice"), "head", 10, ["o_orderkey"])
@@ -337,6 +401,34 @@ def read_as_of(t: Tables) -> DataFrame:
     return counted[0].union(counted[1]).union(counted[2]).union(counted[3])
 
 
+@query(
+    """SELECT 'before the merge' AS moment, COUNT(*) AS n FROM orders WHERE o_orderstatus = 'O' UNION ALL
+       SELECT 'after the merge', COUNT(*) FROM orders UNION ALL
+       SELECT 'line before its fork', COUNT(*) FROM orders WHERE o_orderstatus = 'O' UNION ALL
+       SELECT 'line before the merge', COUNT(*) FROM orders"""
+)
+def read_line_at_time(t: Tables) -> DataFrame:
+    """What a line held at a time: work on another line counts from its merge, and before its fork a line is what it came from."""
+    lake, df = Lake(t.spark, t.scratch("lake")), short_orders(t)
+    lake.publish({"orders": df.filter("o_orderstatus = 'O'")})
+    first = lake.record()["ts"]
+    fix = lake.fork("fix")
+    fix.publish({"orders": df})
+    fixed = fix.record()["ts"]
+    lake.merge("fix")
+    moments = {
+        "before the merge": ("main", fixed), "after the merge": ("main", lake.record()["ts"]),
+        "line before its fork": ("fix", first), "line before the merge": ("fix", fixed),
+    }
+    frames = [
+        lake.read("orders", f"{line}*{dt.datetime.fromtimestamp(ts, dt.timezone.utc).isoformat()}").agg(
+            F.lit(moment).alias("moment"), F.count(F.lit(1)).alias("n")
+        )
+        for moment, (line, ts) in moments.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 @query("SELECT o_orderstatus, COUNT(*) AS n FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 1000 GROUP BY ALL")
 def sql_at_a_version(t: Tables) -> DataFrame:
     lake = Lake(t.spark, t.scratch("lake"))

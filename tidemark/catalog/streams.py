@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.catalog.lakes import CHANGED_SQL, change_feed, order_files, short_orders
+from tidemark.catalog.lakes import CHANGED_SQL, change_feed, short_orders
 from tidemark.catalog.registry import Tables, query
 from tidemark.operators import quality as q
 from tidemark.streaming import jobs
@@ -14,11 +14,10 @@ from tidemark.streaming import jobs
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def stream_import(t: Tables) -> DataFrame:
     """Files arrive in two rounds; the second run picks up only the new ones."""
-    root, arriving = order_files(t), t.scratch("arriving")
-    target, checkpoint = t.scratch("imported"), t.scratch("checkpoint")
-    for statuses in (("O", "F"), ("P",), ()):
-        for status in statuses:
-            t.spark.read.parquet(f"{root}/{status}").write.parquet(f"{arriving}/{status}")
+    arriving, target, checkpoint = t.scratch("arriving"), t.scratch("imported"), t.scratch("checkpoint")
+    for number, rows in enumerate(("o_orderstatus IS DISTINCT FROM 'P'", "o_orderstatus = 'P'", None)):
+        if rows:
+            short_orders(t).filter(rows).write.parquet(f"{arriving}/{number}")
         stream = jobs.file_stream(
             t.spark, f"{arriving}/*", "o_orderkey bigint, o_orderstatus string, o_totalprice double", files_per_batch=4
         )

@@ -180,8 +180,10 @@ def run(
     values = resolve(list(declared), params or {})
     record = lake.record()["tables"] if lake else {}
     sources: dict[str, DataFrame | str] = dict(tables or {})
-    for name in record:
-        sources.setdefault(name, lake.read(name))
+    # tables of the lake are opened by what is asked of them, so that filters decide which folders are read
+    stored = [name for name in record if name not in sources]
+    for name in stored:
+        sources[name] = lake.read(name)
     produced = {model.name for model in models}
     plan = ordered(models, set(sources) - produced | {n for n in sources if n in produced and n not in record})
     readers: dict[str, int] = {}
@@ -206,19 +208,27 @@ def run(
         warnings.warn(text, stacklevel=2)
 
     def give(parent: Input) -> DataFrame:
+        filtered = lambda source: scan(spark, source, filters=parent.filter, params=values)
         if parent.name in built:
-            source: DataFrame | str = built[parent.name]
+            df = filtered(built[parent.name])
         elif parent.ref is not None:
-            source = lake.read(parent.name, parent.ref)
+            df = lake.scan(parent.name, at=parent.ref, filters=parent.filter, params=values)
+        elif parent.name in stored:
+            df = lake.narrowed({parent.name: record[parent.name]}, lambda opened: filtered(opened[parent.name]))
         else:
-            source = sources[parent.name]
-        df = scan(spark, source, columns=None, filters=parent.filter, params=values)
+            df = filtered(sources[parent.name])
         if parent.projection is not None:
             df = contracts.project(df, parent.projection)
         if parent.columns is None or list(parent.columns) == ["*"]:
             return df
         return scan(spark, df, columns=parent.columns)
 
+    def lake_query(sql: str, own: dict[str, DataFrame | str], names: list[str]) -> DataFrame:
+        if not names:
+            return query(spark, sql, tables=own, params=values)
+        entries = {name: record[name] for name in names}
+        return lake.narrowed(entries, lambda opened: query(spark, sql, tables={**own, **opened}, params=values))
+
     def check_nulls(model: Model, df: DataFrame) -> list[str]:
         found = contracts.null_problems(df, model.schema) if model.schema is not None else []
         if found:
@@ -248,7 +258,8 @@ def run(
             inputs = {key: give(parent) for key, parent in model.inputs.items()}
             if model.sql is not None:
                 used = model.parents(set(sources) | set(built))
-                df = query(spark, model.sql, tables={n: built.get(n, sources.get(n)) for n in used}, params=values)
+                own = {n: built.get(n, sources.get(n)) for n in used if n in built or n not in stored}
+                df = lake_query(model.sql, own, [n for n in used if n not in own])
             else:
                 wanted = inspect.signature(model.build).parameters
                 df = model.build(**inputs, **{k: v for k, v in values.items() if k in wanted and k not in inputs})

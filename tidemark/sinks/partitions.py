@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.sqltext import where
@@ -119,87 +119,51 @@ def pruned(df: DataFrame, spec: Sequence[Transform], where: Sequence[Condition])
     return df
 
 
-_TOKEN = re.compile(
-    r"""\s*(?:
-        (?P<string>'(?:[^']|'')*')
-      | (?P<number>[-+]?\d+(?:\.\d+)?)
-      | (?P<word>[A-Za-z_]\w*)
-      | (?P<op><=|>=|!=|<>|=|<|>)
-      | (?P<punct>[(),])
-    )""",
-    re.VERBOSE,
-)
-_KEYWORDS = {"and", "or", "in", "not", "true", "false", "null"}
-
-
-def _parse_condition(tokens: list[tuple[str, str]], columns: Sequence[str]) -> None:
-    """Raise unless the tokens are: terms joined by AND and OR, a term being `column op literal`, `column [NOT] IN (literals)` or
-    a condition in parentheses."""
-    rest = [(kind, text, text.lower()) for kind, text in tokens][::-1]
-
-    def take(good: Callable[[str, str], bool], wanted: str) -> str:
-        if not rest or not good(rest[-1][0], rest[-1][2]):
-            found = rest[-1][1] if rest else "its end"
-            raise ValueError(f"overwrite filter: {wanted} expected, not {found}")
-        return rest.pop()[1]
-
-    def word(*words: str) -> Callable[[str, str], bool]:
-        return lambda kind, text: kind in ("word", "punct") and text in words
-
-    def literal(kind: str, text: str) -> bool:
-        return kind in ("string", "number") or text in ("true", "false")
-
-    def condition() -> None:
-        term()
-        while rest and rest[-1][2] in ("and", "or"):
-            rest.pop()
-            term()
-
-    def term() -> None:
-        if rest and rest[-1][1] == "(":
-            rest.pop()
-            condition()
-            take(word(")"), ")")
-            return
-        name = take(lambda kind, text: kind == "word" and text not in _KEYWORDS, "a partition column")
-        if name not in columns:
-            raise ValueError(f"overwrite filter: {name} is not a partition column")
-        if rest and rest[-1][0] == "op":
-            rest.pop()
-            take(literal, "a literal")
-            return
-        if rest and rest[-1][2] == "not":
-            rest.pop()
-        take(word("in"), "a comparison or IN")
-        take(word("("), "(")
-        take(literal, "a literal")
-        while rest and rest[-1][1] == ",":
-            rest.pop()
-            take(literal, "a literal")
-        take(word(")"), ")")
-
-    condition()
-    if rest:
-        raise ValueError(f"overwrite filter: unexpected {rest[-1][1]}")
+# The comparisons an overwrite filter may hold, by the names Spark's parser gives them.
+_ALLOWED = ("EqualTo", "LessThan", "LessThanOrEqual", "GreaterThan", "GreaterThanOrEqual")
+_QUOTED = re.compile(r"'(?:[^']|'')*'")
+# Read by Spark as the same tree as something allowed.
+_LOOSE = re.compile(r"\bNOT\b(?!\s+IN\b)|\bBETWEEN\b|[=<>]\s*\(", re.IGNORECASE)
 
 
 def check_overwrite_filter(text: str, partition_columns: Sequence[str], df: DataFrame | None = None) -> str:
     """Accept only comparisons, IN and NOT IN of partition columns with literals, joined by AND and OR.
 
-    With `df`, Spark also analyses the filter against its columns.
+    Spark parses the text; with `df`, it also analyses it against the columns of `df`.
     """
     if not partition_columns:
         raise ValueError("an overwrite filter needs partitioned_by")
-    tokens, at = [], 0
-    while at < len(text.rstrip()):
-        match = _TOKEN.match(text, at)
-        if not match:
-            raise ValueError(f"overwrite filter: unexpected text at {text[at:]!r}")
-        tokens.append((match.lastgroup, match.group(match.lastgroup)))
-        at = match.end()
-    if not tokens:
-        raise ValueError("overwrite filter is empty")
-    _parse_condition(tokens, partition_columns)
+    spark = df.sparkSession if df is not None else SparkSession.builder.getOrCreate()
+    try:
+        parsed = spark._jsparkSession.sessionState().sqlParser().parseExpression(text)
+    except Exception as error:  # whatever the parser says
+        raise ValueError(f"overwrite filter: Spark cannot read {text!r}") from error
+
+    def check(node: Any) -> None:
+        kind, children = node.getClass().getSimpleName(), node.children()
+        inner = [children.apply(i) for i in range(children.size())]
+        if kind in ("And", "Or"):
+            for x in inner:
+                check(x)
+            return
+        if kind == "Not":  # of what `!=`, `<>` and NOT IN stand for
+            node, kind = inner[0], inner[0].getClass().getSimpleName()
+            children = node.children()
+            inner = [children.apply(i) for i in range(children.size())]
+            if kind not in ("EqualTo", "In"):
+                raise ValueError(f"overwrite filter: {node.sql()} is not a comparison")
+        if kind not in (*_ALLOWED, "In"):
+            raise ValueError(f"overwrite filter: {node.sql()} is not a comparison of a partition column with literals")
+        column, *values = inner
+        if column.getClass().getSimpleName() != "UnresolvedAttribute" or column.name() not in partition_columns:
+            raise ValueError(f"overwrite filter: {column.sql()} is not a partition column")
+        for value in values:
+            if value.getClass().getSimpleName() != "Literal" or value.value() is None:
+                raise ValueError(f"overwrite filter: {value.sql()} is not a literal")
+
+    check(parsed)
+    if _LOOSE.search(_QUOTED.sub("''", text)):
+        raise ValueError("overwrite filter: only comparisons, IN and NOT IN are allowed")
     if df is not None:
         where(df, text)
     return text

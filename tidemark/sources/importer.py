@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 from tidemark.operators.quality import Check, ExpectationFailed, run_suite
 from tidemark.plans.versions import Lake, UnknownTable
 from tidemark.session import written
-from tidemark.sources.files import list_files
 from tidemark.sources.schema_plan import (
     PlannedColumn,
     SchemaConflict,
     TablePlan,
     file_loads,
-    footers,
+    listed,
     plan_table,
     read_planned,
+    shapes,
 )
 
 LEDGER = "path string, length bigint, imported timestamp"
@@ -38,10 +38,15 @@ def apply_plan(lake: Lake, name: str, plan: TablePlan, replace: bool = False) ->
 
 
 def create_table(
-    lake: Lake, name: str, patterns: str | Sequence[str], partitioned_by: str | Sequence[str] = (), replace: bool = False
+    lake: Lake,
+    name: str,
+    patterns: str | Sequence[str],
+    partitioned_by: str | Sequence[str] = (),
+    replace: bool = False,
+    fmt: str = "parquet",
 ) -> TablePlan:
     """Plan and apply in one step; refuses while the files disagree on a type."""
-    plan = plan_table(lake.spark, patterns, partitioned_by)
+    plan = plan_table(lake.spark, patterns, partitioned_by, fmt=fmt)
     if not plan.can_auto_apply:
         raise SchemaConflict(f"plan has schema conflicts: {', '.join(plan.conflicts)}; resolve them first")
     apply_plan(lake, name, plan, replace)
@@ -58,6 +63,7 @@ def import_files(
     best_effort: bool = False,
     continue_on_error: bool = False,
     checks: Sequence[Check] = (),
+    fmt: str = "parquet",
 ) -> DataFrame:
     """Append the files not imported before; returns their status (path, status, error).
 
@@ -73,12 +79,10 @@ def import_files(
     if tables[name].get("external"):
         raise ValueError(f"{name} is an external table and read-only")
     ledger = ledger_name(name)
-    files = list_files(spark, patterns)
+    files = listed(spark, patterns, fmt)
     if ledger in tables and not allow_duplicates:
         files = files.join(lake.read(ledger).select("path"), "path", "left_anti")
-    footer = written(
-        footers(files.repartition(spark.sparkContext.defaultParallelism, "path")), "footers"
-    )
+    footer = written(shapes(files, fmt), "footers")
     bad = footer.filter(F.col("error").isNotNull())
     if not continue_on_error:
         first = bad.select("path", "error").first()
@@ -93,7 +97,7 @@ def import_files(
     )
     entry = tables[name]
     added = 0
-    for rows in read_planned(spark, file_loads(footer), plan, best_effort, lossless):
+    for rows in read_planned(spark, file_loads(footer), plan, best_effort, lossless, fmt):
         entry = lake.stage(name, rows, "APPEND", tables={name: entry})
         added += 1
     if not added:

@@ -54,6 +54,25 @@ def scan(
     return df if limit is None else df.limit(limit)
 
 
+def relations(spark: SparkSession, sql: str) -> set[str]:
+    """Names of the tables that a statement reads, in lower case, taken from Spark's parsed plan; CTEs of its own among them."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(markers(sql))
+    found: set[str] = set()
+    is_plan = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.plans.logical.LogicalPlan").isInstance
+
+    def visit(node: Any) -> None:
+        if node.getClass().getSimpleName() == "UnresolvedRelation":
+            found.add(node.tableName().replace("`", "").lower())
+        # subqueries stand in expressions, common table expressions beside the children
+        for below in (node.children(), node.innerChildren(), node.subqueries()):
+            for x in (below.apply(i) for i in range(below.size())):
+                if is_plan(x):
+                    visit(x)
+
+    visit(plan)
+    return found
+
+
 # One statement at a time names its tables.
 _views = threading.RLock()
 

@@ -1,7 +1,7 @@
-"""Planning one table out of many Parquet files.
+"""Planning one table out of many Parquet, CSV or JSON-lines files.
 
-Footers are read on the executors; what reaches the driver is one row per column and type, and one per distinct file
-schema. Types are Spark DDL names. Nanosecond timestamps have no Spark type and are reported as `timestamp_ns`, to be
+Footers, or all rows of text files (`text_shapes`), are read on the executors; what reaches the driver is one row per column and
+type, and one per distinct file schema. Types are Spark DDL names. Nanosecond timestamps have no Spark type and are reported as `timestamp_ns`, to be
 resolved by hand.
 """
 
@@ -24,7 +24,10 @@ from tidemark.functions.times import spark_pattern
 from tidemark.sinks.partitions import Transform, partition_spec
 from tidemark.session import written
 from tidemark.sources.files import list_files
+from tidemark.sources.text_shapes import csv_shapes, escaped, jsonl_shapes, merge_types, merged, read_csv
 
+# The formats a plan reads, and the names of their files.
+SUFFIXES = {"parquet": "*.parquet", "csv": "*.csv", "jsonl": "*.{jsonl,json}"}
 FOOTER = "path string, length bigint, position int, column string, type string, error string"
 NANOS = "timestamp_ns"
 FILES_PER_LOAD = 10_000
@@ -201,27 +204,51 @@ def plan_table(
     patterns: str | Sequence[str],
     partitioned_by: str | Sequence[str] = (),
     continue_on_error: bool = False,
+    fmt: str = "parquet",
 ) -> TablePlan:
-    """Infer a table from the footers of all files; columns are united by name, in the order of the files.
+    """Infer a table from all files of a format; columns are united by name, in the order of the files.
+
+    Parquet files must agree on a column's type. Text has no types of its own, so numbers of different width agree on the widest,
+    and so do dates and times without zone; anything else is a conflict.
 
     An unreadable file is an error unless `continue_on_error`, which plans from the others and warns.
     """
     fields = _fields(partition_spec(partitioned_by) if partitioned_by else [])
     try:
-        files = _spread(list_files(spark, patterns))
+        files = listed(spark, patterns, fmt)
     except AnalysisException as error:
         raise FileNotFoundError(f"no file under {patterns}") from error
-    footer = written(footers(files), "footers")
+    footer = written(shapes(files, fmt), "footers")
     found = column_types(footer).orderBy("position", "column").collect()
-    if not found:
-        raise FileNotFoundError(f"no readable Parquet file under {patterns}")
     check_readable(footer, continue_on_error)
-    columns = tuple(
-        PlannedColumn(row["column"], tuple(row["types"]), None if row["conflict"] else row["types"][0]) for row in found
-    )
+    if not found:
+        raise FileNotFoundError(f"no readable {fmt} file under {patterns}")
+
+    def agreed(row: Any) -> str | None:
+        if fmt != "parquet":
+            return merge_types(row["types"])
+        return None if row["conflict"] else row["types"][0]
+
+    columns = tuple(PlannedColumn(row["column"], tuple(row["types"]), agreed(row)) for row in found)
     return TablePlan(columns, fields)
 
 
+def listed(spark: SparkSession, patterns: str | Sequence[str], fmt: str) -> DataFrame:
+    """The files of a format below the patterns."""
+    if fmt not in SUFFIXES:
+        raise ValueError(f"unsupported format {fmt!r}; choose one of {', '.join(SUFFIXES)}")
+    return list_files(spark, patterns, SUFFIXES[fmt])
+
+
+def shapes(files: DataFrame, fmt: str) -> DataFrame:
+    """Columns and types of files, as `footers` gives them. A JSON-lines file without rows has none and does not appear."""
+    if fmt == "parquet":
+        return footers(_spread(files))
+    files = written(files.select("path", "length"), "listing")
+    found = csv_shapes(files) if fmt == "csv" else jsonl_shapes(files)
+    return files.join(found, "path").select("path", "length", "position", "column", "type", "error")
+
+
 def check_readable(footer: DataFrame, continue_on_error: bool) -> None:
     """Raise at a file whose footer cannot be read, or say how many there are."""
     bad = footer.filter(F.col("error").isNotNull()).select("path", "error")
@@ -260,6 +287,10 @@ def file_loads(footer: DataFrame, files_per_load: int = FILES_PER_LOAD) -> Itera
         yield types, paths
 
 
+def _stored_type(kind: str) -> T.DataType:
+    return T.StringType() if kind == "void" else T._parse_datatype_string(kind)
+
+
 def _as(column: PlannedColumn, stored: str, target: T.DataType) -> Column:
     value = F.col(column.name)
     if stored == NANOS:  # read as a count of nanoseconds
@@ -279,6 +310,7 @@ def read_planned(
     plan: TablePlan,
     best_effort: bool = False,
     lossless: bool = False,
+    fmt: str = "parquet",
 ) -> Iterator[DataFrame]:
     """The loads as frames of the planned table: each read with its own schema, then cast.
 
@@ -294,15 +326,26 @@ def read_planned(
         used = [name for name in stored if name in planned]
         physical = T.StructType(
             [
-                T.StructField(name, T.LongType() if stored[name] == NANOS else T._parse_datatype_string(stored[name]))
+                T.StructField(name, T.LongType() if stored[name] == NANOS else _stored_type(stored[name]))
                 for name in used
             ]
         )
-        narrowed = [n for n in used if stored[n] == NANOS or not widens(physical[n].dataType, schema[n].dataType)]
+
+        def holds(name: str) -> bool:
+            wanted = schema[name].dataType
+            return widens(physical[name].dataType, wanted) or (
+                fmt != "parquet" and merged(stored[name], wanted.simpleString()) == wanted.simpleString()
+            )
+
+        narrowed = [n for n in used if stored[n] == NANOS or not holds(n)]
         if lossless and narrowed:
             kinds = ", ".join(f"{n} ({stored[n]} into {schema[n].dataType.simpleString()})" for n in narrowed)
             raise SchemaConflict(f"{paths[0]}: a plan must say how to convert {kinds}")
-        df = spark.read.schema(physical).parquet(*paths)
+        if fmt == "csv":  # values as text, cast below
+            df = read_csv(spark, list(stored), paths)
+        else:
+            reader = spark.read.schema(physical)
+            df = reader.parquet(*paths) if fmt == "parquet" else reader.option("mode", "FAILFAST").json([escaped(p) for p in paths])
         columns = [
             _as(planned[f.name], stored[f.name], f.dataType) if f.name in stored else F.lit(None).cast(f.dataType)
             for f in schema
@@ -316,13 +359,14 @@ def read_files_as(
     plan: TablePlan,
     best_effort: bool = False,
     continue_on_error: bool = False,
+    fmt: str = "parquet",
 ) -> DataFrame:
-    """All files below the patterns as one table of the planned schema.
+    """All files of a format below the patterns as one table of the planned schema.
 
     An unreadable file is an error unless `continue_on_error`, which warns and reads the others.
     """
-    footer = written(footers(_spread(list_files(spark, patterns))), "footers")  # sorted below: read each footer once
+    footer = written(shapes(listed(spark, patterns, fmt), fmt), "footers")  # sorted below: read each footer once
     check_readable(footer, continue_on_error)
     empty = spark.createDataFrame([], plan.schema())
-    return reduce(DataFrame.unionByName, read_planned(spark, file_loads(footer), plan, best_effort), empty)
+    return reduce(DataFrame.unionByName, read_planned(spark, file_loads(footer), plan, best_effort, fmt=fmt), empty)
 
