@@ -12,11 +12,13 @@ name that sorts first.
 
 from __future__ import annotations
 
+import pickle
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -237,14 +239,16 @@ def identify(
     small_batches(docs.sparkSession)
     rows = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull() & (fold(key, folds) != held_out))
     learnt = train(rows.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")), sample)
-    shared = docs.sparkSession.sparkContext.broadcast(learnt)
+    # by value, as workers need not have this package
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(learnt))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value[0]) if shared.value else None
+        known = pickle.loads(shared.value)
+        scorer = Scorer(known[0]) if known else None
         for batch in batches:
             names, score, rejected = [UND] * batch.num_rows, np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
             if scorer:
-                _, sharpness, limits = shared.value
+                _, sharpness, limits = known
                 found, lettered = scorer.entropies(batch.column(text).to_pylist())
                 best = found.argmin(axis=1)
                 names = [scorer.model.names[b] if ok else UND for b, ok in zip(best.tolist(), lettered.tolist())]

@@ -7,8 +7,9 @@ estimated cost, lists read plus candidates compared. A pair must share the small
 
 Equal sets are one class from the start. For the rest, lists are never multiplied out at first: in each list the document that
 holds the shingle earliest, usually the original of a family of copies, is compared with all others, which is linear in the
-list. What these comparisons connect needs no further comparing; only pairs still in different components that share enough
-shingles, and whose positions leave room for the overlap needed, are compared after that. No list, pair or row is capped.
+list. What these comparisons connect needs no further comparing. Documents in lists that still hold several components form
+families, which are searched for further links block by block (`blocks`): a block looks at pairs in steps, those that share enough
+prefix shingles are compared in full, and only a forest of links leaves it. No list, pair or row is capped.
 
 Null texts and texts without words have an empty set and link with nothing; texts of fewer words than a shingle are one shingle.
 Repeated rows are one class.
@@ -18,11 +19,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm import chunks as C
+from tidemark.llm.blocks import link_families, shared_counts
+from tidemark.llm.chunks import as_table, count_hashes, count_of, distinct, each_chunk, lay_chunks, levels_of
 from tidemark.llm.components import components
 from tidemark.llm.scratch import Scratch
 from tidemark.llm.text import Words, lay, lower_ascii, mix, rolling
@@ -69,7 +72,7 @@ def prefix(keys: np.ndarray, df: np.ndarray, percent: int) -> tuple[int, np.ndar
     n = len(keys)
     order = np.lexsort((keys, df))
     base = n - int(least(n, percent))
-    others = np.cumsum(C.count_of(df[order]) - 1)
+    others = np.cumsum(count_of(df[order]) - 1)
     choices = [k for k in MATCHES if base + k <= n]
     lists = np.array([others[base + k - 1] for k in choices])
     cost = lists * (1 + n / 8 / np.array(choices))
@@ -85,14 +88,14 @@ def heads_of(docs: DataFrame, key: str, text: str, size: int, percent: int, scra
     """
 
     def extract(row: dict) -> tuple[np.ndarray, None]:
-        keys, _ = shingles(*lay(C.as_table(row["docs"]).column(text)), size)
+        keys, _ = shingles(*lay(as_table(row["docs"]).column(text)), size)
         return keys & np.uint64(~0xFFFF & (1 << 64) - 1), None
 
     def work(row: dict) -> pa.Table:
-        table = C.as_table(row["docs"])
+        table = as_table(row["docs"])
         keys, first = shingles(*lay(table.column(text)), size)
-        place = C.distinct(keys & np.uint64(~0xFFFF & (1 << 64) - 1), None)[3]
-        df = C.levels_of(row["levels"])[place] if len(keys) else np.zeros(0, np.uint8)
+        place = distinct(keys & np.uint64(~0xFFFF & (1 << 64) - 1), None)[3]
+        df = levels_of(row["levels"])[place] if len(keys) else np.zeros(0, np.uint8)
         nodes, ks, tokens, places, sets = [], [], [], [], []
         for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
             own, n = keys[a:b], b - a
@@ -111,11 +114,11 @@ def heads_of(docs: DataFrame, key: str, text: str, size: int, percent: int, scra
              "places": pa.array(places, pa.list_(pa.int64())), "items": pa.array(sets, pa.binary())}
         )
 
-    chunks = C.lay_chunks(docs, text)
+    chunks = lay_chunks(docs, text)
     kind = docs.schema[key].dataType.simpleString()
-    counted = C.count_hashes(chunks.select("chunk", "n_bytes", "docs"), extract, 6.0, "levels")
+    counted = count_hashes(chunks.select("chunk", "n_bytes", "docs"), extract, 6.0, "levels")
     schema = f"loc string, `{key}` {kind}, n long, node binary, k int, tokens array<long>, places array<long>, items binary"
-    return chunks, scratch.lay(C.each_chunk(counted, work, schema), "heads")
+    return chunks, scratch.lay(each_chunk(counted, work, schema), "heads")
 
 
 def overlap_needed(a: Column, b: Column, percent: int) -> Column:
@@ -176,16 +179,23 @@ def links_of(heads: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     first = scratch.lay(pairs_of(star.filter(fits(percent))), "pairs")
     links = scratch.lay(verified(first, heads, percent, scratch), "links")
 
-    # what is left: pairs of different components so far
-    label = components(links)
-    lists = lists.drop("c").join(label, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    open_lists = lists.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("token")
-    lists = scratch.lay(lists.join(open_lists, "token", "left_semi"), "lists")
-    sides = [lists.select("token", *[F.col(x).alias(s if x == "node" else f"{s}_{x}") for x in [*cells, "part"]]) for s in "ab"]
-    rest = sides[0].join(sides[1], "token").filter((F.col("a") < F.col("b")) & (F.col("a_part") != F.col("b_part")) & fits(percent))
-    done = first.select("a", "b").union(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = scratch.lay(pairs_of(rest).join(done, ["a", "b"], "left_anti"), "pairs")
-    return links.union(verified(rest, heads, percent, scratch))
+    # what is left are links between parts that share a list; lists of one part are done
+    part = components(links)
+    lists = lists.drop("c").join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    open_lists = lists.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.min("node").alias("a")).filter("lo != hi")
+    open_lists = scratch.lay(lists.join(open_lists.select("token", "a"), "token").select("a", "node", "loc", "part"), "lists")
+    family = components(open_lists.select("a", F.col("node").alias("b")).filter("a != b").distinct()).withColumnRenamed("part", "family")
+    nodes = open_lists.groupBy("node").agg(F.min("loc").alias("loc"), F.min("part").alias("part")).join(family, "node")
+    members = scratch.lay(nodes.join(heads.select("loc", "n", "k", "tokens", "items"), "loc"), "members")
+
+    def likely(block: pa.Table):
+        tokens = block.column("tokens").combine_chunks()
+        first = np.concatenate([[0], np.cumsum(pc.list_value_length(tokens).to_numpy(zero_copy_only=False))])
+        ids = np.unique(tokens.flatten().to_numpy(), return_inverse=True)[1]
+        k = block.column("k").to_numpy()
+        return lambda a, b: shared_counts(ids, first, a, b) >= np.minimum(k[a], k[b])
+
+    return links.union(link_families(members, percent, likely))
 
 
 def parted(docs: DataFrame, key: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -224,7 +234,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     names, schema = docs.columns, to_arrow_schema(docs.schema)
 
     def work(row: dict) -> pa.Table:
-        table = C.as_table(row["docs"]).take(pa.array(sorted(row["rows"]), pa.int64()))
+        table = as_table(row["docs"]).take(pa.array(sorted(row["rows"]), pa.int64()))
         return pa.Table.from_arrays([table.column(c).cast(f.type) for c, f in zip(names, schema)], schema=schema)
 
-    return C.each_chunk(chunks.join(kept, "chunk"), work, docs.schema)
+    return each_chunk(chunks.join(kept, "chunk"), work, docs.schema)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm import chunks as C
+from tidemark.llm.chunks import as_table, count_hashes, count_of, distinct, each_chunk, lay_chunks, levels_of
 from tidemark.llm.text import OTHER, OTHER_INVERSE, byte_values, covered, lay, rolling
 from tidemark.session import written
 
@@ -219,14 +219,14 @@ def marked(docs: DataFrame, text: str, width: int, gram: int, hot_runs: int, kee
     """Chunks of `docs` with the anchors' levels, the hot strings' levels, and the shards' answers."""
 
     def runs_of(row: dict) -> tuple[np.ndarray, np.ndarray, Runs]:
-        data, starts = lay(C.as_table(row["docs"]).column(text))
+        data, starts = lay(as_table(row["docs"]).column(text))
         return data, starts, Runs(data, starts, width, gram)
 
     def anchors(row: dict) -> tuple[np.ndarray, None]:
         return runs_of(row)[2].anchor, None
 
-    chunks = C.lay_chunks(docs, text)
-    counted = C.count_hashes(chunks, anchors, 60.0, "anchors")
+    chunks = lay_chunks(docs, text)
+    counted = count_hashes(chunks, anchors, 60.0, "anchors")
     counted = written(counted.drop("docs"), "anchors")
     both = chunks.join(counted.drop("n_bytes"), "chunk")
     total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
@@ -254,7 +254,7 @@ def marked(docs: DataFrame, text: str, width: int, gram: int, hot_runs: int, kee
         if hot.any():
             # carried once more through the counting of single strings
             rows = {k: [*v, None if k != "chunk" else row["chunk"]] for k, v in rows.items()}
-            keys, checks, _, _ = C.distinct(*hot_keys(data, runs, hot, width))
+            keys, checks, _, _ = distinct(*hot_keys(data, runs, hot, width))
             rows["shard"][-1] = -1
             rows["strings"][-1] = keys.tobytes() + checks.tobytes()
         kinds = {"shard": pa.int64(), "chunk": pa.string()}
@@ -275,7 +275,7 @@ def marked(docs: DataFrame, text: str, width: int, gram: int, hot_runs: int, kee
         bits = [np.packbits(np.concatenate(found[a:b])).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
         return pa.table({"shard": group.column("shard"), "chunk": group.column("chunk"), "bits": pa.array(bits, pa.binary())})
 
-    sent = C.each_chunk(both, send, "shard long, chunk string, anchors binary, counts binary, texts binary, strings binary")
+    sent = each_chunk(both, send, "shard long, chunk string, anchors binary, counts binary, texts binary, strings binary")
     sent = written(sent, "runs")
     bits = sent.filter("shard >= 0").groupBy("shard").applyInArrow(answer, "shard long, chunk string, bits binary")
     bits = bits.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("shard", "bits"))).alias("b"))
@@ -286,21 +286,21 @@ def marked(docs: DataFrame, text: str, width: int, gram: int, hot_runs: int, kee
         return np.frombuffer(row["strings"], np.uint64, n), np.frombuffer(row["strings"], np.uint16, n, 8 * n)
 
     singles = sent.filter("shard = -1").select("chunk", F.length("strings").cast("long").alias("n_bytes"), "strings")
-    singles = C.count_hashes(singles, carried, 10.0, "singles", earlier=keep_first).select("chunk", "singles")
+    singles = count_hashes(singles, carried, 10.0, "singles", earlier=keep_first).select("chunk", "singles")
     marks = written(counted.select("chunk", "anchors").join(bits, "chunk", "left").join(singles, "chunk", "left"), "marks")
     return chunks.join(marks.withColumn("shards", F.lit(shards)), "chunk")
 
 
 def _counts(runs: Runs, parts: list[bytes] | None) -> np.ndarray:
-    place = C.distinct(runs.anchor, None)[3]
-    return C.count_of(C.levels_of(parts)[place]) if len(place) else np.zeros(0)
+    place = distinct(runs.anchor, None)[3]
+    return count_of(levels_of(parts)[place]) if len(place) else np.zeros(0)
 
 
 def repeated_bytes(
     row: dict, text: str, width: int, gram: int, hot_runs: int, keep_first: bool
 ) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
     """A chunk's documents, their bytes and where each begins, and which bytes lie in a repeated string."""
-    table = C.as_table(row["docs"])
+    table = as_table(row["docs"])
     data, starts = lay(table.column(text))
     runs = Runs(data, starts, width, gram)
     count = _counts(runs, row["anchors"])
@@ -318,8 +318,8 @@ def repeated_bytes(
             at = np.repeat(runs.start[chosen[a:b]] - np.cumsum(n) + n, n) + np.arange(n.sum())
             begins.append(at[again])
     if hot.any():
-        _, _, here, place = C.distinct(*hot_keys(data, runs, hot, width))
-        again = C.levels_of(row["singles"])[place] > 1
+        _, _, here, place = distinct(*hot_keys(data, runs, hot, width))
+        again = levels_of(row["singles"])[place] > 1
         if keep_first:
             within = np.ones(len(place), bool)
             within[np.unique(place, return_index=True)[1]] = False
@@ -357,7 +357,7 @@ def report_repeats(
         )
 
     schema = f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return C.each_chunk(marked(docs, text, width, gram, hot_runs, keep_first), work, schema)
+    return each_chunk(marked(docs, text, width, gram, hot_runs, keep_first), work, schema)
 
 
 def remove_repeats(
@@ -380,4 +380,4 @@ def remove_repeats(
         columns = [pa.chunked_array([pa.array(new, pa.string())]) if c == text else table.column(c) for c in names]
         return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    return C.each_chunk(marked(docs, text, width, gram, hot_runs, keep_first), work, docs.schema)
+    return each_chunk(marked(docs, text, width, gram, hot_runs, keep_first), work, docs.schema)

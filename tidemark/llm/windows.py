@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm import chunks as C
+from tidemark.llm.chunks import as_table, count_hashes, distinct, each_chunk, lay_chunks, levels_of
 from tidemark.llm.text import OTHER, OTHER_INVERSE, Words, covered, lay, rolling
 
 WINDOW = 35
@@ -28,21 +28,21 @@ def counted(docs: DataFrame, text: str, window: int) -> DataFrame:
     """Chunks of `docs` with the levels of their windows."""
 
     def extract(row: dict) -> tuple[np.ndarray, np.ndarray]:
-        words = Words(*lay(C.as_table(row["docs"]).column(text)))
+        words = Words(*lay(as_table(row["docs"]).column(text)))
         keys, start = words.windows(window)
         return keys, (rolling(words.hash, window, OTHER, OTHER_INVERSE)[start] >> np.uint64(48)).astype(np.uint16)
 
-    return C.count_hashes(C.lay_chunks(docs, text), extract, 6.0, "levels")
+    return count_hashes(lay_chunks(docs, text), extract, 6.0, "levels")
 
 
 def repeats(row: dict, text: str, window: int) -> tuple[pa.Table, Words, np.ndarray]:
     """A chunk's documents, their words, and which words lie in a repeated window."""
-    table = C.as_table(row["docs"])
+    table = as_table(row["docs"])
     words = Words(*lay(table.column(text)))
     keys, start = words.windows(window)
     check = (rolling(words.hash, window, OTHER, OTHER_INVERSE)[start] >> np.uint64(48)).astype(np.uint16)
-    place = C.distinct(keys, check)[3]
-    again = C.levels_of(row["levels"])[place] > 1 if len(place) else np.zeros(0, bool)
+    place = distinct(keys, check)[3]
+    again = levels_of(row["levels"])[place] > 1 if len(place) else np.zeros(0, bool)
     return table, words, covered(start[again], window, len(words.begin))
 
 
@@ -66,7 +66,7 @@ def report_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         )
 
     kind = docs.schema[key].dataType.simpleString()
-    return C.each_chunk(counted(docs, text, window), work, f"`{key}` {kind}, {REPORT}")
+    return each_chunk(counted(docs, text, window), work, f"`{key}` {kind}, {REPORT}")
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -82,4 +82,4 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
         columns = [pa.chunked_array([pa.array(new, pa.string())]) if c == text else table.column(c) for c in names]
         return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    return C.each_chunk(counted(docs, text, window), work, docs.schema)
+    return each_chunk(counted(docs, text, window), work, docs.schema)
