@@ -95,3 +95,32 @@ def test_full_by_key(spark):
     found = sorted((tuple(r) for r in full_by_key(left, right, "a", "b").collect()), key=str)
     expected = [(1, "x", "r1"), (2, "y", None), (None, "n", None), (3, None, "r3"), (None, None, "rn")]
     assert found == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("small,accuracy,block", [(50, 20, 100_000), (50, 20, 3), (10**6, 1000, 100_000)])
+def test_median_of_large_keys(spark, monkeypatch, small, accuracy, block):
+    """Sketched bounds, ranked middles and keys sorted at once agree; a third of all rows has one key, and values repeat."""
+    from tidemark.operators import ranks
+
+    for name, bound in (("SMALL", small), ("ACCURACY", accuracy), ("BLOCK", block)):
+        monkeypatch.setattr(ranks, name, bound)
+    rng = random.Random(5)
+    rows = [(rng.choice([None, "hot", "hot", *"abcdefgh"]) if i % 3 else "hot", float(rng.choice([rng.randint(-50, 50), rng.gauss(0, 1e6), 7]))) for i in range(4000)]
+    rows += [("one", 2.5), ("two", 1.0), ("two", 2.0), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    groups = {}
+    for k, v in rows:
+        if v is not None:
+            groups.setdefault(k, []).append(v)
+    assert {r["k"]: r["m"] for r in exact_median(df, ["k"], "v", "m").collect()} == {k: statistics.median(v) for k, v in groups.items()}
+    assert [r["m"] for r in exact_median(df, [], "v", "m").collect()] == [statistics.median([v for _, v in rows if v is not None])]
+
+
+def test_median_when_a_sketch_misses(spark, monkeypatch):
+    from tidemark.operators import ranks
+
+    monkeypatch.setattr(ranks, "SMALL", 10)
+    monkeypatch.setattr(ranks.F, "percentile_approx", lambda *_: ranks.F.first(ranks.F.array(ranks.F.lit(1e9), ranks.F.lit(2e9))))
+    df = spark.createDataFrame([("a", float(i)) for i in range(101)], "k string, v double")
+    assert [tuple(r) for r in exact_median(df, ["k"], "v", "m").collect()] == [("a", 50.0)]
+    assert exact_median(df.filter("false"), [], "v", "m").collect() == []

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import Tables, query
-from tidemark.functions.numbers import stable_mean
+from tidemark.functions.numbers import exact_mean
 from tidemark.functions.text import page_text
 from tidemark.functions.times import whole_minutes
 from tidemark.operators.joins import full_by_key
@@ -92,7 +92,7 @@ def gold(clean: DataFrame) -> DataFrame:
     hour = F.date_trunc("hour", "dateTime").cast("timestamp_ntz").alias("hour")
     return clean.groupBy(hour, "signal").agg(
         F.count("value").alias("reading_count"),
-        stable_mean("value").alias("avg_value"),
+        exact_mean("value").alias("avg_value"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
     )
@@ -127,7 +127,7 @@ def account_day_summary(t: Tables) -> DataFrame:
     settled = dated.filter("event_type = 'purchase'").groupBy("account_id", "date").agg(
         F.round(F.sum("value"), 2).alias("total_amount"),
         F.count(F.lit(1)).alias("transaction_count"),
-        stable_mean("value").alias("avg_amount"),
+        exact_mean("value").alias("avg_amount"),
     )
     activity = dated.groupBy("account_id", "date").agg(
         F.count(F.lit(1)).alias("event_count"), F.count_if(F.col("event_type") == "signup").alias("login_count")
@@ -205,7 +205,7 @@ def rate_by_bin(t: Tables) -> DataFrame:
 )
 def average_by_class(t: Tables) -> DataFrame:
     return t.part.groupBy("p_type", "p_brand").agg(
-        stable_mean("p_retailprice").alias("avg_price"), F.count(F.lit(1)).alias("n_parts")
+        exact_mean("p_retailprice").alias("avg_price"), F.count(F.lit(1)).alias("n_parts")
     )
 
 
@@ -248,5 +248,5 @@ def mean_extracted_amount(t: Tables) -> DataFrame:
         F.explode(F.regexp_extract_all("html", F.lit(r"ad (\d+)"), F.lit(1))).alias("amount"),
     )
     return amounts.groupBy("company", "lang").agg(
-        stable_mean(F.col("amount").cast("long"), 0).alias("mean_amount"), F.count(F.lit(1)).alias("n")
+        exact_mean(F.col("amount").cast("long"), 0).alias("mean_amount"), F.count(F.lit(1)).alias("n")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import Tables, query
-from tidemark.functions.numbers import stable_mean
+from tidemark.functions.numbers import exact_mean, exact_sum
 from tidemark.functions.text import before_marker, named_groups
 from tidemark.functions.times import spark_pattern, whole_minutes
 from tidemark.operators.diffs import diff_names
@@ -325,7 +325,7 @@ def count_grouped(t: Tables) -> DataFrame:
 )
 def sum_avg_expression(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_suppkey").agg(
-        F.round(F.sum(net()), 4).alias("net"), stable_mean("l_quantity", 0).alias("avg_qty")
+        exact_sum(net(), 4).alias("net"), exact_mean("l_quantity", 0).alias("avg_qty")
     )
 
 
@@ -425,7 +425,7 @@ def distribution_of_counts(t: Tables) -> DataFrame:
 )
 def binned_mean(t: Tables) -> DataFrame:
     return t.lineitem.groupBy((F.floor(F.col("l_quantity") / 10) * 10.0).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), stable_mean("l_discount").alias("avg_discount")
+        F.count(F.lit(1)).alias("n"), exact_mean("l_discount").alias("avg_discount")
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import Tables, query
-from tidemark.functions.numbers import stable_mean
+from tidemark.functions.numbers import exact_mean, exact_sum
 from tidemark.sources.scan import query as sql_query
 
 
@@ -47,12 +47,12 @@ def pricing_summary(t: Tables) -> DataFrame:
         .groupBy("l_returnflag", "l_linestatus")
         .agg(
             F.sum("l_quantity").alias("sum_qty"),
-            F.round(F.sum(gross()), 2).alias("sum_base_price"),
-            F.round(F.sum(net()), 2).alias("sum_disc_price"),
-            F.round(F.sum(taxed()), 2).alias("sum_charge"),
-            stable_mean("l_quantity", 0).alias("avg_qty"),
-            stable_mean(gross()).alias("avg_price"),
-            stable_mean("l_discount").alias("avg_disc"),
+            F.round(exact_sum(gross()), 2).alias("sum_base_price"),
+            F.round(exact_sum(net(), 4), 2).alias("sum_disc_price"),
+            F.round(exact_sum(taxed(), 6), 2).alias("sum_charge"),
+            exact_mean("l_quantity", 0).alias("avg_qty"),
+            exact_mean(gross()).alias("avg_price"),
+            exact_mean("l_discount").alias("avg_disc"),
             F.count(F.lit(1)).alias("count_order"),
         )
         .orderBy("l_returnflag", "l_linestatus")
@@ -66,10 +66,10 @@ def pricing_summary(t: Tables) -> DataFrame:
 )
 def revenue_measures(t: Tables) -> DataFrame:
     return t.lineitem.agg(
-        F.round(F.sum(gross()), 2).alias("gross"),
-        F.round(F.sum(net()), 2).alias("net"),
-        F.round(F.sum(taxed()), 2).alias("net_after_tax"),
-        F.round(F.sum(gross() * F.col("l_discount")), 2).alias("discount_given"),
+        F.round(exact_sum(gross()), 2).alias("gross"),
+        F.round(exact_sum(net(), 4), 2).alias("net"),
+        F.round(exact_sum(taxed(), 6), 2).alias("net_after_tax"),
+        F.round(exact_sum(gross() * F.col("l_discount"), 4), 2).alias("discount_given"),
     )
 
 
@@ -98,7 +98,7 @@ def order_total_drift(t: Tables) -> DataFrame:
 )
 def order_metrics(t: Tables) -> DataFrame:
     header = t.orders.agg(
-        stable_mean("o_totalprice").alias("average_order_value"), F.count(F.lit(1)).alias("order_volume")
+        exact_mean("o_totalprice").alias("average_order_value"), F.count(F.lit(1)).alias("order_volume")
     )
     lines = t.lineitem.agg(
         F.sum("l_quantity").alias("quantity_shipped"),

@@ -26,10 +26,25 @@ def widens(stored: T.DataType, target: T.DataType) -> bool:
     return digits is not None and wanted is not None and digits <= wanted
 
 
-def stable_mean(value: Column | str, places: int = 2) -> Column:
-    """Mean of values with at most `places` decimals.
+LIMB = 20  # bits
 
-    Rounding the sum to those decimals makes it exact, so the mean does not depend on the order in which partitions are
-    added up, which changes from run to run.
+
+def exact_sum(value: Column | str, places: int = 2) -> Column:
+    """Sum of values with at most `places` decimals, the same bits in whatever order rows and partitions are added.
+
+    A value is a whole number of units of 10^-places; its three limbs are summed as longs, combined map-side, which 2^43 rows do
+    not overflow, and put together in a decimal. NaN makes the sum NaN; infinities and values beyond 2^63 units fail.
     """
-    return F.round(F.sum(value), places) / F.count(value)
+    value = F.col(value) if isinstance(value, str) else value
+    odd = F.isnan(value)
+    units = F.when(~odd, F.round(value * 10**places)).cast("long")
+    mask = (1 << LIMB) - 1
+    limbs = [units.bitwiseAND(mask), F.shiftright(units, LIMB).bitwiseAND(mask), F.shiftright(units, 2 * LIMB)]
+    low, middle, high = (F.sum(x).cast("decimal(25,0)") for x in limbs)
+    total = low + middle * F.lit(1 << LIMB).cast("decimal(7,0)") + high * F.lit(1 << 2 * LIMB).cast("decimal(13,0)")
+    return F.when(F.bool_or(odd), F.lit(float("nan"))).otherwise(total.cast("double") / 10**places)
+
+
+def exact_mean(value: Column | str, places: int = 2) -> Column:
+    """Mean of values with at most `places` decimals, from their exact sum."""
+    return exact_sum(value, places) / F.count(value)

@@ -20,6 +20,8 @@ LOCAL = "__local"
 CARRIED = "__carried"
 # Rows generated from one repeated row at a time, and items in one piece of an ordered list.
 BLOCK = 100_000
+# Rows of a key that a task may sort, and the sketch's accuracy: its rank error is one part in so many, its bounds two parts off.
+SMALL, ACCURACY = 5_000, 1_000
 
 
 def spread_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -110,22 +112,69 @@ def number_ordered(df: DataFrame, order: Sequence[str], name: str = "row_number"
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Median of the non-null values per key: the mean of the two middle values, found by rank."""
+    """Median of the non-null numbers per key: the mean of the two middle values.
+
+    Keys of up to SMALL rows are sorted where they meet. For larger ones a sketch bounds the middle, rows outside the bounds are
+    only counted, and the few inside are ranked; so no row is written down or sorted but those near the middle. A sketch that
+    misses the middle, which its error bound rules out, would only mean ranking all rows.
+    """
     keys = list(keys)
-    counted = (
-        df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
+    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size")).filter(F.col("__size") > SMALL)
+    if large.isEmpty():
+        return rows.groupBy(*keys).agg(F.median(value).alias(name)) if keys else rows.agg(F.median(value).alias(name)).filter(F.col(name).isNotNull())
+    if not keys:
+        return _median_near(rows, keys, value, name)
+    few = match_keys(rows, large.drop("__size"), keys, "left_anti").groupBy(*keys).agg(F.median(value).alias(name))
+    return few.unionByName(_median_near(match_keys(rows, large.drop("__size"), keys, "left_semi"), keys, value, name))
+
+
+def _median_near(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    margins = [0.5 - 2 / ACCURACY, 0.5 + 2 / ACCURACY]
+    near = rows.groupBy(*keys).agg(F.percentile_approx(value, margins, ACCURACY).alias("__near"))
+    marked = match_keys(rows, near, keys, small=not keys)
+    side = F.when(F.col(value) < F.col("__near")[0], -1).when(F.col(value) > F.col("__near")[1], 1).otherwise(0)
+    marked = marked.select(*keys, side.alias("__side"), value)
+    inside = F.when(F.col("__side") == 0, F.col(value))
+    cells = marked.groupBy(*keys, "__side", inside.alias(value)).agg(F.count(F.lit(1)).alias("__n"))
+    cells = written(cells, "cells")
+    below = F.coalesce(F.sum(F.when(F.col("__side") == -1, F.col("__n"))), F.lit(0))
+    within = F.coalesce(F.sum(F.when(F.col("__side") == 0, F.col("__n"))), F.lit(0))
+    sizes = cells.groupBy(*keys).agg(
+        F.sum("__n").alias("__size"), below.alias("__below"), within.alias("__within"), F.count(F.lit(1)).alias("__cells")
     )
+    low, high = F.floor((F.col("__size") + 1) / 2), F.floor((F.col("__size") + 2) / 2)
+    missed = (low <= F.col("__below")) | (high > F.col("__below") + F.col("__within"))
+    widest, wrong = sizes.agg(F.max("__cells"), F.bool_or(missed)).first()
+    if wrong:
+        return _median_by_ranks(rows, keys, value, name)
+    middle = cells.filter("__side = 0").drop("__side")
+    if widest <= BLOCK:
+        earlier = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        placed = middle.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    else:
+        placed = running_total(middle, keys, [value], "__n", "__before")
+    joined = match_keys(placed, sizes, keys, small=not keys)
+    joined = joined.withColumn("__before", F.col("__before") + F.col("__below"))
+    return _middle_of(joined, keys, value, name)
+
+
+def _median_by_ranks(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    counted = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     ranged = spread_in_order(counted, keys, [value])
     placed = total_before(ranged, keys, [value], "__n", "__before")
     sizes = ranged.groupBy(*keys).agg(F.sum("__n").alias("__size"))
-    joined = match_keys(placed, sizes, keys)
-    low = F.floor((F.col("__size") + 1) / 2)
-    high = F.floor((F.col("__size") + 2) / 2)
+    return _middle_of(match_keys(placed, sizes, keys, small=not keys), keys, value, name)
+
+
+def _middle_of(placed: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """The median from different values with their count `__n`, how many come `__before` and the group's `__size`."""
+    low, high = F.floor((F.col("__size") + 1) / 2), F.floor((F.col("__size") + 2) / 2)
 
     def covers(rank: Column) -> Column:
         return (F.col("__before") < rank) & (F.col("__before") + F.col("__n") >= rank)
 
-    middle = joined.filter(covers(low) | covers(high))
+    middle = placed.filter(covers(low) | covers(high))
     return middle.groupBy(*keys).agg(((F.min(value) + F.max(value)) / 2).alias(name))
 
 
