@@ -225,3 +225,27 @@ def test_an_alias_named_like_a_model_makes_no_cycle():
         sql_text_model("totals", "SELECT SUM(x) AS revenue FROM orders ORDER BY revenue"),
     ]
     assert [m.name for m in ordered(models, {"orders"})] == ["totals", "revenue"]
+
+
+def test_failed_and_skipped_models_are_in_the_summary(spark, lake):
+    """A body that raises, and one whose rows raise when they are written; nothing is published."""
+    def raises(rows):
+        raise KeyError("no such thing")
+
+    bad_rows = lambda rows: rows.select(F.raise_error(F.lit("bad row")).cast("int").alias("id"))
+    for body, told in ((raises, "KeyError"), (bad_rows, "bad row")):
+        lake.publish({"src": spark.range(3)})
+        before = lake.versions()
+        models = [
+            Model("first", lambda rows: rows, {"rows": Input("src")}, strategy="REPLACE"),
+            Model("broken", body, {"rows": Input("first")}, strategy="REPLACE"),
+            Model("after", lambda rows: rows, {"rows": Input("broken")}, strategy="REPLACE"),
+        ]
+        done = run(spark, models, lake=lake, stop=False)
+        found = {r["model"]: (r["outcome"], r["problems"]) for r in done.summary.collect()}
+        assert not done.succeeded and done.version is None and lake.versions() == before
+        assert found["first"][0] == "succeeded" and found["after"] == ("skipped", []) and found["broken"][0] == "failed"
+        assert told in found["broken"][1][0]
+        with pytest.raises(Exception) as stopped:
+            run(spark, models, lake=lake)
+        assert {r["model"]: r["outcome"] for r in stopped.value.run.summary.collect()}["broken"] == "failed"

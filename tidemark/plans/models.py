@@ -169,6 +169,7 @@ def run(
     preview_mode: str = "off",
     cache: bool = True,
     message: str = "",
+    stop: bool = True,
 ) -> Run:
     """Build every model, check it, and publish what is to be kept.
 
@@ -176,6 +177,9 @@ def run(
     has two or more readers, is persisted unless `cache` is off. Broken contracts and
     failing expectations warn, or stop the run before anything is published when `strict`. With `transaction` all outputs
     appear in one version.
+
+    A model that fails, while it is built or while its rows are written, is `failed` in the summary and those after it are
+    `skipped`; nothing of a transaction is published. The error has that state as its `run`; without `stop` the state is returned.
     """
     values = resolve(list(declared), params or {})
     record = lake.record()["tables"] if lake else {}
@@ -253,57 +257,67 @@ def run(
             raise ExpectationFailed("; ".join(broken))
 
     try:
-        for model in plan:
+        for place, model in enumerate(plan):
             started = dt.datetime.now(dt.timezone.utc)
-            inputs = {key: give(parent) for key, parent in model.inputs.items()}
-            if model.sql is not None:
-                used = model.parents(set(sources) | set(built))
-                own = {n: built.get(n, sources.get(n)) for n in used if n in built or n not in stored}
-                df = lake_query(model.sql, own, [n for n in used if n not in own])
-            else:
-                wanted = inspect.signature(model.build).parameters
-                df = model.build(**inputs, **{k: v for k, v in values.items() if k in wanted and k not in inputs})
-            if not isinstance(df, DataFrame):
-                raise RunFailed(f"{model.name} returned {type(df).__name__}, not a DataFrame")
-            problems = contracts.column_problems(df, model.columns)
-            if model.schema is not None:
-                named = {parent.name: inputs[key] for key, parent in model.inputs.items()}
-                problems += contracts.check_contract(df, model.schema, named or None, read=False)
-            if problems:
-                fail(f"{model.name}: {'; '.join(problems)}")
-            count = None
-            if model.strategy.upper() != "NONE" and not dry and lake is not None:
-                entry = lake.stage(
-                    model.name,
-                    df,
-                    model.strategy.upper(),
-                    model.partitioned_by,
-                    model.overwrite_filter,
-                    tables={**record, **staged},
-                )
-                staged[model.name] = entry
-                # from here on the rows as written: audited, counted (from file footers) and read by the next models
-                df = lake._open({**entry, "parts": entry["parts"][-1:]})
-                count = df.count()
-                problems += check_nulls(model, df)
-                check_expectations(model.name, df)
-                if not transaction:
-                    based_on = version = lake.commit_staged({model.name: entry}, based_on, message or f"run {model.name}")
-            else:
-                if readers.get(model.name, 0) > 1 and cache:
-                    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-                    held.append(df)
-                problems += check_nulls(model, df)
-                if dry and not any(model.name in other.parents(produced) for other in plan):
-                    dry_run(df)
-                check_expectations(model.name, df)
-            built[model.name] = df
-            shown = preview(df, preview_mode, key=df.columns if preview_mode == "tail" else None)
-            if shown is not None:
-                previews[model.name] = shown
-            ended = dt.datetime.now(dt.timezone.utc)
-            outcome = "problems" if problems else "succeeded"
-            rows.append((model.name, model.strategy.upper(), started, ended, outcome, count, problems))
+            try:
+                inputs = {key: give(parent) for key, parent in model.inputs.items()}
+                if model.sql is not None:
+                    used = model.parents(set(sources) | set(built))
+                    own = {n: built.get(n, sources.get(n)) for n in used if n in built or n not in stored}
+                    df = lake_query(model.sql, own, [n for n in used if n not in own])
+                else:
+                    wanted = inspect.signature(model.build).parameters
+                    df = model.build(**inputs, **{k: v for k, v in values.items() if k in wanted and k not in inputs})
+                if not isinstance(df, DataFrame):
+                    raise RunFailed(f"{model.name} returned {type(df).__name__}, not a DataFrame")
+                problems = contracts.column_problems(df, model.columns)
+                if model.schema is not None:
+                    named = {parent.name: inputs[key] for key, parent in model.inputs.items()}
+                    problems += contracts.check_contract(df, model.schema, named or None, read=False)
+                if problems:
+                    fail(f"{model.name}: {'; '.join(problems)}")
+                count = None
+                if model.strategy.upper() != "NONE" and not dry and lake is not None:
+                    entry = lake.stage(
+                        model.name,
+                        df,
+                        model.strategy.upper(),
+                        model.partitioned_by,
+                        model.overwrite_filter,
+                        tables={**record, **staged},
+                    )
+                    staged[model.name] = entry
+                    # from here on the rows as written: audited, counted (from file footers) and read by the next models
+                    df = lake._open({**entry, "parts": entry["parts"][-1:]})
+                    count = df.count()
+                    problems += check_nulls(model, df)
+                    check_expectations(model.name, df)
+                    if not transaction:
+                        based_on = version = lake.commit_staged({model.name: entry}, based_on, message or f"run {model.name}")
+                else:
+                    if readers.get(model.name, 0) > 1 and cache:
+                        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+                        held.append(df)
+                    problems += check_nulls(model, df)
+                    if dry and not any(model.name in other.parents(produced) for other in plan):
+                        dry_run(df)
+                    check_expectations(model.name, df)
+                built[model.name] = df
+                shown = preview(df, preview_mode, key=df.columns if preview_mode == "tail" else None)
+                if shown is not None:
+                    previews[model.name] = shown
+                ended = dt.datetime.now(dt.timezone.utc)
+                outcome = "problems" if problems else "succeeded"
+                rows.append((model.name, model.strategy.upper(), started, ended, outcome, count, problems))
+            except Exception as error:
+                ended, told = dt.datetime.now(dt.timezone.utc), f"{type(error).__name__}: {error}"
+                rows.append((model.name, model.strategy.upper(), started, ended, "failed", None, [told]))
+                rows += [(later.name, later.strategy.upper(), None, None, "skipped", None, []) for later in plan[place + 1 :]]
+                state = Run(spark.createDataFrame(rows, SUMMARY), built, previews, outcomes, version, succeeded=False)
+                if not stop:
+                    return state
+                error.run = state
+                raise
         for name in {e.on for e in expectations} - set(built):
             source = sources[name]
             check_expectations(name, scan(spark, source))
