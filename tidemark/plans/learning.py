@@ -55,42 +55,47 @@ def daily_counts(df: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFrame:
 def forecast(series: DataFrame, keys: Sequence[str], periods: int = SERIES_END) -> DataFrame:
     """Fitted history and `periods` further days per series: linear trend plus weekday effect, with 95% bounds.
 
-    Least squares and the weekday means are grouped aggregates, so millions of series are one job and no series is ever
-    gathered in one place. A series needs two days to have a trend; with one it stays level.
+    One aggregate gathers the normal equations of each series and weekday (counts, sums, squares and products of day and value);
+    trend, effects and spread follow from its at most seven rows per series, so partial results merge in any order and millions of
+    series are one job. A series needs two days to have a trend; with one it stays level.
     """
     if not keys:  # one series: a constant key keeps the joins below ordinary
         return forecast(series.withColumn("__series", F.lit(1)), ["__series"], periods).drop("__series")
     keys = list(keys)
-    epoch = F.lit("1970-01-01").cast("date")
-    points = series.select(*keys, "ds", F.datediff("ds", epoch).alias("t"), F.col("y").cast("double").alias("y"))
-    trend = points.groupBy(*keys).agg(
-        F.coalesce(F.regr_slope("y", "t"), F.lit(0.0)).alias("slope"),
-        F.avg("t").alias("mean_t"),
-        F.avg("y").alias("mean_y"),
+    # days from a point near by, so that squares and products of days stay whole numbers that doubles hold
+    origin = F.lit("2000-01-01").cast("date")
+    points = series.select(*keys, "ds", F.datediff("ds", origin).cast("double").alias("t"), F.col("y").cast("double").alias("y"))
+    moments = points.filter(F.col("y").isNotNull()).groupBy(*keys, F.dayofweek("ds").alias("weekday")).agg(
+        F.count(F.lit(1)).alias("n"), *_sums(t=F.col("t"), y=F.col("y"), tt=F.col("t") * F.col("t"), ty=F.col("t") * F.col("y"), yy=F.col("y") * F.col("y")),
         F.max("ds").alias("last"),
+    )
+    names = ["n", "t", "y", "tt", "ty", "yy"]
+    whole = moments.groupBy(*keys).agg(
+        *_sums(**{name: F.col(name) for name in names}), F.max("last").alias("last"), F.collect_list(F.struct("weekday", *names)).alias("days")
     )
+    spread_t = F.col("tt") - F.col("t") * F.col("t") / F.col("n")
+    slope = F.when(spread_t > 0, (F.col("ty") - F.col("t") * F.col("y") / F.col("n")) / spread_t).otherwise(0.0)
+    whole = whole.select(*keys, "last", "days", "n", slope.alias("slope"), (F.col("t") / F.col("n")).alias("mean_t"), (F.col("y") / F.col("n")).alias("mean_y"))
 
     def line(t: Column) -> Column:
         return F.col("mean_y") + F.col("slope") * (t - F.col("mean_t"))
 
-    rest = points.join(trend, keys).withColumn("rest", F.col("y") - line(F.col("t"))).withColumn(
-        "weekday", F.dayofweek("ds")
-    )
-    effect = rest.groupBy(*keys, "weekday").agg(F.avg("rest").alias("effect"))
-    noise = (
-        rest.groupBy(*keys, "weekday")
-        .agg(F.sum(F.col("rest") * F.col("rest")).alias("ss"), F.avg("rest").alias("m"), F.count(F.lit(1)).alias("n"))
-        .groupBy(*keys)
-        .agg(F.sqrt(F.sum(F.col("ss") - F.col("n") * F.col("m") * F.col("m")) / F.sum("n")).alias("spread"))
-    )
-    ahead = trend.select(
-        *keys, F.explode(F.sequence(F.date_add("last", 1), F.date_add("last", periods))).alias("ds")
+    def left(day: Column) -> Column:
+        """Squares left around the trend within a weekday."""
+        around = lambda product, one, two: day[product] - day[one] * day[two] / day["n"]
+        tilt = F.col("slope")
+        return around("yy", "y", "y") - 2 * tilt * around("ty", "t", "y") + tilt * tilt * around("tt", "t", "t")
+
+    effects = F.map_from_entries(F.transform("days", lambda d: F.struct(d["weekday"], d["y"] / d["n"] - line(d["t"] / d["n"]))))
+    squares = F.aggregate("days", F.lit(0.0), lambda total, d: total + left(d))
+    model = whole.select(
+        *keys, "last", "slope", "mean_t", "mean_y", effects.alias("effects"), F.sqrt(F.greatest(squares, F.lit(0.0)) / F.col("n")).alias("spread")
     )
+    ahead = model.select(*keys, F.explode(F.sequence(F.date_add("last", 1), F.date_add("last", periods))).alias("ds"))
     days = points.select(*keys, "ds").unionByName(ahead)
-    ready = days.join(trend, keys).join(noise, keys).withColumn("weekday", F.dayofweek("ds"))
-    ready = ready.join(effect, [*keys, "weekday"], "left")
-    value = line(F.datediff("ds", epoch)) + F.coalesce("effect", F.lit(0.0))
-    margin = F.greatest(F.coalesce("spread", F.lit(0.0)), F.lit(0.0)) * WIDTH
+    ready = days.join(model, keys)
+    value = line(F.datediff("ds", origin)) + F.coalesce(F.try_element_at("effects", F.dayofweek("ds")), F.lit(0.0))
+    margin = F.col("spread") * WIDTH
     return ready.select(
         *keys,
         "ds",
@@ -98,3 +103,7 @@ def forecast(series: DataFrame, keys: Sequence[str], periods: int = SERIES_END)
         (value - margin).alias("yhat_lower"),
         (value + margin).alias("yhat_upper"),
     )
+
+
+def _sums(**what: Column) -> list[Column]:
+    return [F.sum(column).alias(name) for name, column in what.items()]
