@@ -19,7 +19,7 @@ def brute(url):
     host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:n])
     path = rest[n:].split("?")[0].split("#")[0]
     def fits(r):
-        return ("." + host).endswith("." + r.split("/")[0]) and path.startswith(r[r.index("/") :])
+        return ("." + host).endswith("." + r.split("/")[0]) and path.startswith(r[r.index("/") :] if "/" in r else "")
 
     rules = sorted((len(r), r, v) for v, r in URL_RULES if fits(r))
     if rules:
@@ -37,6 +37,40 @@ def test_against_brute_force(spark):
     assert judge(pages.limit(0), URL_RULES, LISTED).collect() == []
 
 
+def test_a_listed_host_needs_no_path(spark):
+    urls = ["http://free-bets.example.com", "http://free-bets.example.com?x", "http://a.free-bets.example.com#y", "http://free-bets.example.com/", "http://bets.example.com"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    assert [r.verdict for r in judge(pages, [], LISTED).orderBy("page_id").collect()] == ["block"] * 4 + ["allow"]
+    assert [r.verdict for r in judge(pages, [], ["free-bets.example.com/"]).orderBy("page_id").collect()] == ["allow"] * 3 + ["block", "allow"]
+
+
+def test_a_million_entries(tmp_path):
+    from tidemark.llm.urls import Index, digest_array
+
+    path = tmp_path / "index"
+    path.write_bytes(digest_array([], [f"h{i}.example.org" for i in range(1_000_000)]))
+    found = Index(str(path)).find([f"h{i}.example.org" for i in range(0, 2_000_000, 1000)])
+    assert sorted(found) == sorted(f"h{i}.example.org" for i in range(0, 1_000_000, 1000))
+
+
+def test_a_cut_file_is_written_anew(spark):
+    """What a driver lost while writing may leave under the name is not read."""
+    import hashlib
+
+    from tidemark.llm.urls import digest_array
+    from tidemark.session import shared_root
+
+    raw = digest_array([], ["cut.example.org"])
+    name = f"url-index-{hashlib.sha256(raw).hexdigest()[:20]}"
+    import os
+
+    os.makedirs(f"{shared_root(spark)}/tidemark", exist_ok=True)
+    with open(f"{shared_root(spark)}/tidemark/{name}", "wb") as file:
+        file.write(raw[:10])
+    pages = spark.createDataFrame([(1, "http://cut.example.org")], "page_id long, url string")
+    assert [r.verdict for r in judge(pages, [], ["cut.example.org"]).collect()] == ["block"]
+
+
 def test_no_rules(spark):
     pages = spark.createDataFrame(ROWS, "page_id long, url string")
     assert {r.verdict for r in judge(pages, [], []).collect()} == {"allow"}

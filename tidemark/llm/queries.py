@@ -68,9 +68,9 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 URL_RULES = [
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
 ]
-# Hosts that a list of unwanted sites names; each stands for all hosts below it.
+# Hosts that a list of unwanted sites names; each stands for all hosts below it, with whatever path.
 LISTED = [
-    f"{name}.example.{end}/"
+    f"{name}.example.{end}"
     for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
     for end in ("com", "net", "org")
 ]
@@ -88,7 +88,7 @@ WITH cut AS (
   SELECT page_id, verdict, rule, kind,
          row_number() OVER (PARTITION BY page_id ORDER BY kind DESC, length(rule) DESC, verdict DESC) AS k
   FROM parts JOIN rules
-    ON ends_with('.' || host, '.' || split_part(rule, '/', 1)) AND starts_with(path, substr(rule, strpos(rule, '/')))
+    ON ends_with('.' || host, '.' || split_part(rule, '/', 1)) AND starts_with(path, CASE WHEN rule LIKE '%/%' THEN substr(rule, strpos(rule, '/')) ELSE '' END)
 )
 SELECT p.page_id, p.host, p.path, CASE WHEN f.kind = 1 THEN f.rule END AS rule, coalesce(f.verdict, 'allow') AS verdict,
        CASE WHEN f.kind = 0 THEN f.rule END AS listed

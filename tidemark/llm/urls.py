@@ -11,6 +11,7 @@ Null urls and urls without `://` have empty host and path and are allowed. Hosts
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,7 +27,7 @@ LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def digest_array(rules: Sequence[tuple[str, str]], listed: Sequence[str]) -> bytes:
-    """The file: `rules` are (verdict, host/path), `listed` are blocked host/path."""
+    """The file: `rules` are (verdict, host/path), `listed` are blocked host/path, or a host alone, whatever the path."""
     import xxhash
 
     entries = [("r", verdict, rule) for verdict, rule in rules] + [("l", BLOCK, rule) for rule in listed]
@@ -45,10 +46,15 @@ def ship(spark: SparkSession, raw: bytes) -> str:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/tidemark/{name}")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        out = fs.create(path, True)
+    if not fs.exists(path) or fs.getFileStatus(path).getLen() != len(raw):
+        # aside, then renamed, so that a driver lost meanwhile leaves no half of it under the name
+        aside = jvm.org.apache.hadoop.fs.Path(f"{path.toString()}-{uuid.uuid4().hex}")
+        out = fs.create(aside, False)
         out.write(bytearray(raw))
         out.close()
+        fs.delete(path, False)
+        if not fs.rename(aside, path) and not fs.exists(path):
+            raise OSError(f"cannot rename {aside.toString()} to {path.toString()}")
     spark.sparkContext.addFile(fs.makeQualified(path).toString())
     return name
 
@@ -72,9 +78,9 @@ class Index:
             own = []
             for e in range(int(low[i]), int(high[i])):
                 kind, verdict, rule = bytes(self.strings[int(self.at[e]) : int(self.at[e + 1])]).decode().split("\t")
-                host, _, path = rule.partition("/")
+                host, slash, path = rule.partition("/")
                 if host == hosts[i]:
-                    own.append((kind == "r", len(rule), verdict == BLOCK, "/" + path, rule))
+                    own.append((kind == "r", len(rule), verdict == BLOCK, slash + path, rule))
             if own:
                 found[hosts[i]] = own
         return found
