@@ -39,7 +39,7 @@ def test_late_rows_are_dropped_after_the_bound(spark, folder):
     arrive(spark, folder, "2", [(at(1, 55), "a", 8.0), (at(4), "a", 5.0)])  # late, within the bound
     stats()
     arrive(spark, folder, "3", [(at(1, 10), "a", 100.0), (at(4, 30), "a", 7.0)])  # the first is too late now
-    found = {r["start"].hour: (r["reading_count"], r["max_value"], r["avg_value"]) for r in stats().collect()}
+    found = {r["start"].hour: (r["n"], r["highest"], r["mean"]) for r in stats().collect()}
     assert found == {1: (3, 8.0, 4.0), 4: (2, 7.0, 6.0)}
 
 

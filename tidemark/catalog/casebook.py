@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import Tables, query
-from tidemark.functions.numbers import exact_mean
+from tidemark.functions.numbers import exact_mean, exact_sum
 from tidemark.functions.text import page_text
 from tidemark.functions.times import whole_minutes
 from tidemark.operators.joins import full_by_key
@@ -50,89 +50,60 @@ def waiting_time_by_zone(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT SUBSTRING(CAST(ts AS VARCHAR), 1, 10) AS date, c_mktsegment AS customer_segment, COUNT(*) AS total_purchases,
-         ROUND(SUM(value), 2) AS total_revenue, ROUND(SUM(value), 2) / COUNT(value) AS avg_order_value
+    """SELECT SUBSTRING(CAST(ts AS VARCHAR), 1, 10) AS day, c_mktsegment, COUNT(*) AS purchases,
+         ROUND(SUM(value), 2) AS revenue, ROUND(SUM(value), 2) / COUNT(value) AS mean_purchase
        FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase' AND value > 0 GROUP BY 1, 2"""
 )
 def daily_segment_stats(t: Tables) -> DataFrame:
-    bought = t.events.filter("event_type = 'purchase' AND value > 0").select(
-        F.substring(F.col("ts").cast("string"), 1, 10).alias("date"), "user_id", F.col("value").alias("price")
-    )
+    bought = t.events.filter("event_type = 'purchase' AND value > 0")
     # per user and day first: a heavy buyer is one row per day at the join
-    daily = bought.groupBy("user_id", "date").agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("paid"))
-    segments = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("customer_segment"))
-    return (
-        daily.join(segments, "user_id")
-        .groupBy("date", "customer_segment")
-        .agg(
-            F.sum("n").alias("total_purchases"),
-            F.round(F.sum("paid"), 2).alias("total_revenue"),
-            (F.round(F.sum("paid"), 2) / F.sum("n")).alias("avg_order_value"),
-        )
-    )
-
-
-def bronze(t: Tables) -> DataFrame:
-    """Raw readings: minute stamps, and text values of which those of error events are no numbers."""
-    text = F.when(F.col("event_type") == "error", F.concat(F.lit("err-"), F.col("value").cast("string")))
-    return t.events.select(
-        F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("dateTime"),
-        F.col("event_type").alias("sensors"),
-        F.coalesce(text, F.col("value").cast("string")).alias("value"),
-    )
-
-
-def silver(raw: DataFrame) -> DataFrame:
-    """Parsed readings, one per signal and time: the highest."""
-    parsed = raw.select("dateTime", F.col("sensors").alias("signal"), F.col("value").try_cast("double").alias("value"))
-    return parsed.dropna().groupBy("signal", "dateTime").agg(F.max("value").alias("value"))
-
-
-def gold(clean: DataFrame) -> DataFrame:
-    hour = F.date_trunc("hour", "dateTime").cast("timestamp_ntz").alias("hour")
-    return clean.groupBy(hour, "signal").agg(
-        F.count("value").alias("reading_count"),
-        exact_mean("value").alias("avg_value"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
+    daily = bought.groupBy(F.col("user_id").alias("c_custkey"), F.substring(F.col("ts").cast("string"), 1, 10).alias("day")).agg(
+        F.count(F.lit(1)).alias("purchases"), exact_sum("value").alias("revenue")
     )
+    per_segment = daily.join(t.customer.select("c_custkey", "c_mktsegment"), "c_custkey").groupBy("day", "c_mktsegment")
+    sums = per_segment.agg(F.sum("purchases").alias("purchases"), exact_sum("revenue").alias("revenue"))
+    return sums.withColumn("mean_purchase", F.col("revenue") / F.col("purchases"))
 
 
 @query(
-    """WITH parsed AS (SELECT DATE_TRUNC('minute', ts) AS stamp, event_type AS signal,
-         TRY_CAST(CASE WHEN event_type = 'error' THEN 'err-' || value ELSE CAST(value AS VARCHAR) END AS DOUBLE) AS value
-         FROM events), ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY signal, stamp ORDER BY value DESC) AS rn
-         FROM parsed WHERE value IS NOT NULL)
-       SELECT DATE_TRUNC('hour', stamp) AS hour, signal, COUNT(value) AS reading_count, ROUND(SUM(value), 2) / COUNT(value) AS avg_value,
-         MIN(value) AS min_value, MAX(value) AS max_value FROM ranked WHERE rn = 1 GROUP BY ALL"""
+    """WITH shown AS (SELECT event_type, DATE_TRUNC('minute', ts) AS minute,
+         CASE WHEN event_type = 'error' THEN 'err-' || value ELSE CAST(value AS VARCHAR) END AS reading FROM events),
+       peaks AS (SELECT event_type, minute, MAX(TRY_CAST(reading AS DOUBLE)) AS peak FROM shown GROUP BY ALL)
+       SELECT DATE_TRUNC('hour', minute) AS hour, event_type, COUNT(peak) AS minutes, ROUND(SUM(peak), 2) / COUNT(peak) AS mean_peak,
+         MIN(peak) AS lowest_peak, MAX(peak) AS highest_peak FROM peaks WHERE peak IS NOT NULL GROUP BY ALL"""
 )
 def telemetry_bronze_to_gold(t: Tables) -> DataFrame:
-    return gold(silver(bronze(t)))
+    """Values as text, some of them no numbers; of the readable ones the highest of each minute, summed up by hour."""
+    number = F.col("value").cast("string")
+    shown = F.when(F.col("event_type") == "error", F.concat(F.lit("err-"), number)).otherwise(number)
+    minute = F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("minute")
+    peaks = t.events.groupBy("event_type", minute).agg(F.max(shown.try_cast("double")).alias("peak")).filter("peak IS NOT NULL")
+    return peaks.groupBy(F.date_trunc("hour", "minute").cast("timestamp_ntz").alias("hour"), "event_type").agg(
+        F.count("peak").alias("minutes"),
+        exact_mean("peak").alias("mean_peak"),
+        F.min("peak").alias("lowest_peak"),
+        F.max("peak").alias("highest_peak"),
+    )
 
 
 @query(
-    """WITH spend AS (SELECT user_id AS account_id, CAST(ts AS DATE) AS date, ROUND(SUM(value), 2) AS total_amount,
-         COUNT(*) AS transaction_count, ROUND(SUM(value), 2) / COUNT(value) AS avg_amount FROM events WHERE event_type = 'purchase'
-         AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' GROUP BY ALL),
-       activity AS (SELECT user_id AS account_id, CAST(ts AS DATE) AS date, COUNT(*) AS event_count,
-         COUNT(*) FILTER (WHERE event_type = 'signup') AS login_count FROM events
-         WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' GROUP BY ALL)
-       SELECT a.*, total_amount, transaction_count, avg_amount FROM activity a LEFT JOIN spend USING (account_id, date)"""
+    """SELECT user_id, CAST(ts AS DATE) AS day, COUNT(*) AS n_events, COUNT(*) FILTER (event_type = 'signup') AS n_signups,
+         COUNT(*) FILTER (event_type = 'purchase') AS n_purchases, ROUND(SUM(value) FILTER (event_type = 'purchase'), 2) AS spent,
+         ROUND(SUM(value) FILTER (event_type = 'purchase'), 2) / COUNT(value) FILTER (event_type = 'purchase') AS mean_purchase
+       FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' GROUP BY ALL"""
 )
 def account_day_summary(t: Tables) -> DataFrame:
-    window = (F.col("ts") >= "2024-01-05") & (F.col("ts") < "2024-01-25")
-    dated = t.events.filter(window).select(
-        F.col("user_id").alias("account_id"), F.to_date("ts").alias("date"), "event_type", "value"
-    )
-    settled = dated.filter("event_type = 'purchase'").groupBy("account_id", "date").agg(
-        F.round(F.sum("value"), 2).alias("total_amount"),
-        F.count(F.lit(1)).alias("transaction_count"),
-        exact_mean("value").alias("avg_amount"),
-    )
-    activity = dated.groupBy("account_id", "date").agg(
-        F.count(F.lit(1)).alias("event_count"), F.count_if(F.col("event_type") == "signup").alias("login_count")
+    """One pass: conditional counts and sums instead of two groupings and a join."""
+    kind = F.col("event_type")
+    paid = F.when(kind == "purchase", F.col("value"))
+    days = t.events.filter((F.col("ts") >= "2024-01-05") & (F.col("ts") < "2024-01-25"))
+    return days.groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.count_if(kind == "signup").alias("n_signups"),
+        F.count_if(kind == "purchase").alias("n_purchases"),
+        exact_sum(paid).alias("spent"),
+        exact_mean(paid).alias("mean_purchase"),
     )
-    return activity.join(settled, ["account_id", "date"], "left")
 
 
 @query(

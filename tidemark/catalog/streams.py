@@ -26,22 +26,16 @@ def stream_import(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT DATE_TRUNC('hour', ts) AS hour, event_type, COUNT(value) AS reading_count, ROUND(SUM(value), 2) / COUNT(value) AS avg_value,
-         MIN(value) AS min_value, MAX(value) AS max_value FROM events GROUP BY ALL"""
+    """SELECT DATE_TRUNC('hour', ts) AS hour, event_type, COUNT(value) AS n, ROUND(SUM(value), 2) / COUNT(value) AS mean,
+         MIN(value) AS lowest, MAX(value) AS highest FROM events GROUP BY ALL"""
 )
 def stream_hourly_stats(t: Tables) -> DataFrame:
     events = jobs.file_stream(t.spark, t.path("events")).withColumn("ts", F.col("ts").cast("timestamp"))
     stats = jobs.windowed_stats(
         events, "ts", "event_type", "value", t.scratch("stats"), t.scratch("checkpoint"), "1 hour", "2 hours"
     )
-    return stats.select(
-        F.col("start").cast("timestamp_ntz").alias("hour"),
-        "event_type",
-        "reading_count",
-        (F.round("total_value", 2) / F.col("reading_count")).alias("avg_value"),
-        "min_value",
-        "max_value",
-    )
+    mean = (F.round("total", 2) / F.col("n")).alias("mean")
+    return stats.select(F.col("start").cast("timestamp_ntz").alias("hour"), "event_type", "n", mean, "lowest", "highest")
 
 
 @query("SELECT DISTINCT event_type, DATE_TRUNC('hour', ts) AS hour FROM events")

@@ -26,7 +26,7 @@ from tidemark.operators.reports import keep_best
 
 # Batches that wait before they are folded into the base.
 FOLD_EVERY = 8
-STATS = ["reading_count", "total_value", "avg_value", "min_value", "max_value"]
+STATS = ["n", "total", "mean", "lowest", "highest"]
 
 
 def file_stream(
@@ -202,11 +202,11 @@ def windowed_stats(
         df.withWatermark(ts, late)
         .groupBy(F.window(ts, width).alias("window"), F.col(key))
         .agg(
-            F.count(value).alias("reading_count"),
-            F.sum(value).alias("total_value"),
-            F.avg(value).alias("avg_value"),
-            F.min(value).alias("min_value"),
-            F.max(value).alias("max_value"),
+            F.count(value).alias("n"),
+            F.sum(value).alias("total"),
+            F.avg(value).alias("mean"),
+            F.min(value).alias("lowest"),
+            F.max(value).alias("highest"),
         )
         .select(F.col("window.start").alias("start"), key, *STATS)
     )
