@@ -5,8 +5,9 @@ import pytest
 
 from tests.llm.corpus import awkward, frame
 from tidemark.llm.components import components
-from tidemark.llm.ngram_join import join_by_jaccard, one_of_each
+from tidemark.llm.ngram_join import heads_of, join_by_jaccard, links_of, one_of_each
 from tidemark.llm.queries import QUERIES
+from tidemark.llm.scratch import Scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -68,6 +69,24 @@ def test_against_brute_force(spark, rows, size, percent):
     assert sorted(map(tuple, got), key=str) == brute(rows, size, percent)
 
 
+def test_a_family_below_the_limit_writes_no_pairs(spark):
+    """Texts that all differ a little too much: nothing links, and what is written stays linear in the family."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(300)]
+    texts = []
+    for i in range(300):
+        copy = list(base)
+        for at in rng.sample(range(300), 4):
+            copy[at] = f"v{i}x{at}"
+        texts.append((i, " ".join(copy)))
+    scratch = Scratch(spark)
+    _, heads = heads_of(frame(spark, texts), "doc_id", "text", 3, 90, scratch)
+    assert heads.filter("tokens is not null").count() > 200
+    assert links_of(heads, 90, scratch).count() <= len(texts)
+    got = join_by_jaccard(frame(spark, texts), size=3, percent=90)[1].drop("loc").collect()
+    assert sorted(map(tuple, got), key=str) == brute(texts, 3, 90)
+
+
 def test_empty_table(spark):
     assert join_by_jaccard(frame(spark, []))[1].collect() == []
 
