@@ -112,12 +112,23 @@ def escaped(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
+def _some_paths(files: DataFrame) -> Iterator[list[str]]:
+    """The paths of so many files at a time as one scan takes; the driver never holds all of them."""
+    held: list[str] = []
+    for row in files.select("path").toLocalIterator():
+        held.append(escaped(row["path"]))
+        if len(held) >= FILES_PER_SCAN:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def _headers(files: DataFrame) -> Iterator[tuple[str, list[str]]]:
     """Each different first line with the files that open with it, some at a time."""
     spark = files.sparkSession
-    paths = [escaped(r["path"]) for r in files.select("path").toLocalIterator()]
-    for at in range(0, len(paths), FILES_PER_SCAN):
-        lines = spark.read.text(paths[at : at + FILES_PER_SCAN])
+    for paths in _some_paths(files):
+        lines = spark.read.text(paths)
         # the first line is in the first block, whatever else that holds
         first = lines.select(file_path().alias("path"), "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_block_start").alias("block"))
         first = first.filter("block = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
@@ -169,10 +180,9 @@ def jsonl_shapes(files: DataFrame) -> DataFrame:
     A file with a line that is no object is an error. Objects and arrays inside are structs and arrays; what varies in kind is text.
     """
     spark = files.sparkSession
-    paths = [escaped(r["path"]) for r in files.select("path").toLocalIterator()]
     found = [spark.createDataFrame([], ROW)]
-    for at in range(0, len(paths), FILES_PER_SCAN):
-        lines = spark.read.text(paths[at : at + FILES_PER_SCAN]).filter("trim(value) <> ''")
+    for paths in _some_paths(files):
+        lines = spark.read.text(paths).filter("trim(value) <> ''")
         lines = lines.select(file_path().alias("path"), F.expr("try_parse_json(value)").alias("line"))
         is_object = F.coalesce(F.schema_of_variant("line").startswith("OBJECT"), F.lit(False))
         bad = lines.groupBy("path").agg(F.count_if(~is_object).alias("broken"))
