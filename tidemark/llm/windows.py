@@ -14,6 +14,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -52,13 +53,13 @@ def report_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
 
     def work(row: dict) -> pa.Table:
         table, words, gone = repeats(row, text, window)
-        removed, shas, intervals = [], [], []
+        removed, shas, intervals, keep = [], [], [], ~gone
         for i, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist())):
             own = gone[a:b]
             edges = np.flatnonzero(np.diff(own, prepend=False, append=False)).tolist() if own.any() else []
             removed.append(int(own.sum()))
             intervals.append([{"first": x, "last": y - 1} for x, y in zip(edges[0::2], edges[1::2])])
-            shas.append(hashlib.sha256(words.text_of(i, ~gone if removed[-1] else None)).hexdigest())
+            shas.append(hashlib.sha256(words.text_of(i, keep if removed[-1] else None)).hexdigest())
         kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         return pa.table(
             {key: table.column(key), "n_words": words.counts(), "n_removed": pa.array(removed, pa.int64()),
@@ -76,10 +77,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
 
     def work(row: dict) -> pa.Table:
         table, words, gone = repeats(row, text, window)
-        old = table.column(text).to_pylist()
-        hit = {i for i in range(len(old)) if gone[words.first[i] : words.first[i + 1]].any()}
-        new = [words.text_of(i, ~gone).decode("utf-8", "replace") if i in hit else t for i, t in enumerate(old)]
-        columns = [pa.chunked_array([pa.array(new, pa.string())]) if c == text else table.column(c) for c in names]
+        keep = ~gone
+        total = np.concatenate([[0], np.cumsum(gone)])
+        hit = total[words.first[1:]] > total[words.first[:-1]]
+        # only texts that lose something become strings here
+        new = pa.array([words.text_of(i, keep).decode("utf-8", "replace") for i in np.flatnonzero(hit).tolist()], pa.string())
+        old = table.column(text).combine_chunks().cast(pa.string())
+        columns = [pa.chunked_array([pc.replace_with_mask(old, pa.array(hit), new)]) if c == text else table.column(c) for c in names]
         return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return each_chunk(counted(docs, text, window), work, docs.schema)
