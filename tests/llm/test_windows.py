@@ -1,12 +1,17 @@
 import hashlib
+import random
 import re
+import tracemalloc
+import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from tests.llm.corpus import awkward, frame
+from tidemark.llm.chunks import CHUNK_BYTES, as_bytes
 from tidemark.llm.queries import QUERIES
-from tidemark.llm.windows import remove_repeats, report_repeats
+from tidemark.llm.windows import remove_repeats, repeats, report_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -54,3 +59,20 @@ def test_query_against_brute_force(spark, small):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op4_substring_dedup"](spark, small).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted(map(tuple, got), key=str) == brute(rows, 35)
+
+
+def test_memory_of_a_full_chunk():
+    """Words are hashed and cut slice by slice: two workers and a JVM share an executor's room."""
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.getrandbits(24):x}" for _ in range(400)) for _ in range(CHUNK_BYTES // 2800)]
+    levels = [zlib.compress(b"\x01" * (len(texts) * (400 - 34)))]
+    row = {"chunk": "c", "docs": as_bytes(pa.table({"doc_id": range(len(texts)), "text": texts})), "levels": levels}
+    size = sum(map(len, texts))
+    del texts
+    tracemalloc.start()
+    try:
+        for _ in repeats(row, "text", 35):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 11 * size
+    finally:
+        tracemalloc.stop()

@@ -57,6 +57,12 @@ def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
         at += take
 
 
+def parts_of(table: pa.Table, text: str) -> Iterator[pa.RecordBatch]:
+    """The rows of a chunk's table, in order, in slices of few bytes of text."""
+    for part in table.combine_chunks().to_batches():
+        yield from slices(part, text)
+
+
 def level(counts: np.ndarray) -> np.ndarray:
     """A count as one byte: itself up to EXACT, then a logarithm."""
     high = EXACT + np.ceil(8 * np.log2(np.maximum(counts, EXACT) / EXACT))
@@ -150,8 +156,12 @@ def distinct(keys: np.ndarray, extra: np.ndarray | None) -> tuple[np.ndarray, np
     if extra is not None:
         e = extra[order]
         new[1:] |= e[1:] != e[:-1]
-    place = np.empty(len(k), np.int64)
-    place[order] = np.cumsum(new) - 1
+    # a bucket or chunk holds few millions, so places take four bytes
+    rank = np.cumsum(new, dtype=np.int32 if len(k) < 1 << 31 else np.int64)
+    rank -= 1
+    place = np.empty_like(rank)
+    place[order] = rank
+    del order, rank
     first = np.flatnonzero(new)
     return k[first], None if e is None else e[first], np.diff(first, append=len(k)), place
 

@@ -17,6 +17,8 @@ Repeated rows are one class.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm.blocks import link_families, shared_counts
-from tidemark.llm.chunks import as_table, count_hashes, count_of, distinct, each_chunk, lay_chunks, levels_of
+from tidemark.llm.chunks import as_table, count_hashes, count_of, distinct, each_chunk, lay_chunks, levels_of, parts_of
 from tidemark.llm.components import components
 from tidemark.llm.scratch import Scratch
 from tidemark.llm.text import Words, lay, lower_ascii, mix, rolling
@@ -52,6 +54,16 @@ def shingles(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarra
     return keys[new], np.searchsorted(owner[new], np.arange(len(starts)))
 
 
+def shingles_of(table: pa.Table, text: str, size: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(hash, counts) of a chunk's table, worked out slice by slice: the texts' distinct shingles, and how many each text of a slice has."""
+    keys, counts = [np.zeros(0, np.uint64)], []
+    for part in parts_of(table.select([text]), text):
+        own, first = shingles(*lay(part.column(text)), size)
+        keys.append(own)
+        counts.append(np.diff(first).astype(np.int64))
+    return np.concatenate(keys), counts
+
+
 def _whole(words: np.ndarray) -> np.uint64:
     return mix(rolling(words, len(words)) + np.uint64(len(words)))[0]
 
@@ -88,31 +100,38 @@ def heads_of(docs: DataFrame, key: str, text: str, size: int, percent: int, scra
     """
 
     def extract(row: dict) -> tuple[np.ndarray, None]:
-        keys, _ = shingles(*lay(as_table(row["docs"]).column(text)), size)
+        keys, _ = shingles_of(as_table(row["docs"]), text, size)
         return keys & np.uint64(~0xFFFF & (1 << 64) - 1), None
 
-    def work(row: dict) -> pa.Table:
+    def work(row: dict) -> Iterator[pa.Table]:
         table = as_table(row["docs"])
-        keys, first = shingles(*lay(table.column(text)), size)
+        keys, counts = shingles_of(table, text, size)
+        ids = table.column(key)
+        del table
         place = distinct(keys & np.uint64(~0xFFFF & (1 << 64) - 1), None)[3]
         df = levels_of(row["levels"])[place] if len(keys) else np.zeros(0, np.uint8)
-        nodes, ks, tokens, places, sets = [], [], [], [], []
-        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-            own, n = keys[a:b], b - a
-            nodes.append(digest(own) if n else None)
-            # too small to link to any set but its equal
-            k, t, p = prefix(own, df[a:b], percent) if 100 * n >= percent * (n + 1) else (0, (), ())
-            found = len(t) > 0
-            ks.append(k)
-            tokens.append(t.view(np.int64) if found else None)
-            places.append(p if found else None)
-            sets.append(own.tobytes() if found else None)
-        locs = [f"{row['chunk']}:{i}" for i in range(table.num_rows)]
-        return pa.table(
-            {"loc": locs, key: table.column(key), "n": np.diff(first).astype(np.int64), "node": pa.array(nodes, pa.binary()),
-             "k": pa.array(ks, pa.int32()), "tokens": pa.array(tokens, pa.list_(pa.int64())),
-             "places": pa.array(places, pa.list_(pa.int64())), "items": pa.array(sets, pa.binary())}
-        )
+        del place
+        at = done = 0
+        for sizes in counts:
+            nodes, ks, tokens, places, sets = [], [], [], [], []
+            for n in sizes.tolist():
+                own, rare = keys[done : done + n], df[done : done + n]
+                done += n
+                nodes.append(digest(own) if n else None)
+                # too small to link to any set but its equal
+                k, t, p = prefix(own, rare, percent) if 100 * n >= percent * (n + 1) else (0, (), ())
+                found = len(t) > 0
+                ks.append(k)
+                tokens.append(t.view(np.int64) if found else None)
+                places.append(p if found else None)
+                sets.append(own.tobytes() if found else None)
+            locs = [f"{row['chunk']}:{at + i}" for i in range(len(sizes))]
+            yield pa.table(
+                {"loc": locs, key: ids.slice(at, len(sizes)), "n": sizes, "node": pa.array(nodes, pa.binary()),
+                 "k": pa.array(ks, pa.int32()), "tokens": pa.array(tokens, pa.list_(pa.int64())),
+                 "places": pa.array(places, pa.list_(pa.int64())), "items": pa.array(sets, pa.binary())}
+            )
+            at += len(sizes)
 
     chunks = lay_chunks(docs, text)
     kind = docs.schema[key].dataType.simpleString()
