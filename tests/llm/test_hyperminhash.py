@@ -50,6 +50,24 @@ def test_blocks_of_a_grid(spark, monkeypatch):
         assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 3, 85)
 
 
+def test_only_open_families_move(spark, monkeypatch):
+    """The block search gets the sets of families in several parts, from a table that was joined once."""
+    search, seen = hyperminhash.link_families, []
+
+    def watched(members, *rest):
+        seen.append((members.groupBy("family").agg(F.count_distinct("part")).collect(), members._jdf.queryExecution().toString()))
+        return search(members, *rest)
+
+    monkeypatch.setattr(hyperminhash, "link_families", watched)
+    base = " ".join(f"c{i}" for i in range(300))
+    rows = [*near_limit(40), (500, base), (501, base + " more"), (502, base + " other end")]
+    got = find_near_duplicates(frame(spark, rows), size=3, percent=85).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 3, 85)
+    [(families_, plan)] = seen
+    assert families_ and all(parts > 1 for _, parts in families_)
+    assert "Join" not in plan
+
+
 def test_long_texts(spark):
     got = find_near_duplicates(frame(spark, long_texts()), size=3, percent=85).collect()
     assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 1), (3, 3), (4, 4)]

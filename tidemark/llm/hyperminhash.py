@@ -205,8 +205,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def links_of(heads: DataFrame, chunks: DataFrame, text: str, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) between different sets, enough of them to connect all that any links connect."""
-    nodes = heads.filter("bands is not null").groupBy("node").agg(F.min("loc").alias("loc"), F.first("bands").alias("bands"))
-    posted = nodes.select("node", "loc", F.explode("bands").alias("band"))
+    nodes = heads.filter("bands is not null").groupBy("node").agg(F.first("bands").alias("bands"))
+    posted = nodes.select("node", F.explode("bands").alias("band"))
     # lists of one set end here
     many = posted.groupBy("band").agg(F.count("*").alias("held")).filter("held > 1")
     lists = scratch.lay(posted.join(many, "band"), "lists")
@@ -214,13 +214,16 @@ def links_of(heads: DataFrame, chunks: DataFrame, text: str, size: int, percent:
     hubs = lists.select("band", "node").join(weights, "node").groupBy("band").agg(F.max(F.struct("weight", "node")).alias("hub"))
     star = lists.select("band", "node").join(hubs, "band").select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
     star = scratch.lay(star.filter("a != b").distinct(), "pairs")
-    sets = scratch.lay(sets_of(chunks, lists.groupBy("node").agg(F.min("loc").alias("loc")), text, size), "sets")
+    wanted = heads.select("node", "loc").join(lists.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("loc").alias("loc"))
+    sets = scratch.lay(sets_of(chunks, wanted, text, size), "sets")
     links = scratch.lay(verified(star, sets, percent), "links")
 
     # families share bands; what of them is not yet connected is searched block by block
     family = components(star).withColumnRenamed("part", "family")
-    part = components(links)
-    members = sets.join(family, "node").join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    places = family.join(components(links), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    # families of one part are done; only sets of the others move, once
+    several = places.groupBy("family").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("family")
+    members = scratch.lay(sets.join(places.join(several, "family"), "node"), "members")
     limit = least_estimate(percent)
 
     def likely(block: pa.Table):
