@@ -6,10 +6,11 @@ import zlib
 from collections import Counter
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tests.llm.corpus import awkward, frame
-from tidemark.llm.chunks import CHUNK_BYTES, as_bytes
+from tidemark.llm.chunks import CHUNK_BYTES, as_bytes, lay_chunks
 from tidemark.llm.queries import QUERIES
 from tidemark.llm.windows import remove_repeats, repeats, report_repeats
 
@@ -61,6 +62,12 @@ def test_query_against_brute_force(spark, small):
     assert sorted(map(tuple, got), key=str) == brute(rows, 35)
 
 
+def test_chunks_are_compressed_once(spark):
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in lay_chunks(frame(spark, awkward()), "text").inputFiles()]
+    found = {f.row_group(i).column(c).compression for f in files for i in range(f.num_row_groups) for c in range(3)}
+    assert found == {"UNCOMPRESSED"}
+
+
 def test_memory_of_a_full_chunk():
     """Words are hashed and cut slice by slice: two workers and a JVM share an executor's room."""
     rng = random.Random(5)

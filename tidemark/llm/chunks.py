@@ -35,7 +35,7 @@ EXACT = 127
 def small_batches(spark: SparkSession) -> None:
     """Rows with whole texts go to Python few megabytes at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
 
 
 def give_back() -> None:
@@ -118,7 +118,8 @@ def lay_chunks(docs: DataFrame, text: str) -> DataFrame:
         if held:
             yield row(held, size)
 
-    return written(docs.mapInArrow(pack, "chunk string, n_bytes long, docs binary"), "chunks")
+    # compressed already: a codec's buffers outside the heap would grow to whole pages of chunks and stay
+    return written(docs.mapInArrow(pack, "chunk string, n_bytes long, docs binary"), "chunks", "none")
 
 
 def encode(keys: np.ndarray, extra: np.ndarray | None, counts: np.ndarray) -> bytes:
@@ -191,11 +192,15 @@ def count_hashes(chunks: DataFrame, extract: Extract, bytes_per_hash: float, nam
                     encode(k[cuts[b] : cuts[b + 1]], None if e is None else e[cuts[b] : cuts[b + 1]], n[cuts[b] : cuts[b + 1]])
                     for b in full
                 ]
-                yield pa.RecordBatch.from_pydict(
-                    {"bucket": pa.array(full, pa.int32()), "chunk": pa.array([row["chunk"]] * len(full), pa.string()),
-                     "keys": pa.array(blobs, pa.binary())}
-                )
-                del row, k, e, n, blobs
+                del k, e, n
+                # few buckets at a time, as the JVM takes a batch whole outside its heap
+                for at in range(0, len(full), 8):
+                    own = full[at : at + 8]
+                    yield pa.RecordBatch.from_pydict(
+                        {"bucket": pa.array(own, pa.int32()), "chunk": pa.array([row["chunk"]] * len(own), pa.string()),
+                         "keys": pa.array(blobs[at : at + 8], pa.binary())}
+                    )
+                del row, blobs
                 give_back()
 
     def answer(group: pa.Table) -> pa.Table:

@@ -66,14 +66,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage of `df` by writing it to the shared folder and reading it back.
 
     Unlike a cached plan this survives the loss of executors, and later readers prune its columns.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
