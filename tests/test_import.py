@@ -5,6 +5,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from tidemark.catalog import QUERIES
 from tidemark.functions.times import spark_pattern
 from tidemark.operators import quality as q
 from tidemark.plans.versions import Lake, UnknownTable, VersionConflict
@@ -227,3 +228,19 @@ def test_plan_survives_as_an_edited_document(spark, folder):
         TablePlan.from_document(stored)
     with pytest.raises(ValueError, match="partition column"):
         TablePlan.from_document({**plan.document(), "partitioned_by": ["day(other)"]})
+
+
+def test_days_with_values_of_zero_are_published(spark, folder):
+    """The SQL counts every row of the two days, and 0 is an amount like any other; a negative or missing one is refused."""
+
+    def ingest(values):
+        days = [dt.datetime(2024, 1, 3 + i % 2, 5) for i in range(len(values))]
+        rows = [(i, day, 7, "view", value, "{}") for i, (day, value) in enumerate(zip(days, values))]
+        schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{folder}/events.parquet")
+        return [tuple(r) for r in QUERIES["ingest_days_with_audit"](spark, folder).collect()]
+
+    assert ingest([0.0, 1.5, 2.0, 0.0]) == [("view", 4, 3.5)]
+    for bad in (-0.01, None):
+        with pytest.raises(q.ExpectationFailed, match="value"):
+            ingest([1.0, 2.0, bad])
