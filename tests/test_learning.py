@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,6 +26,44 @@ def test_vocabulary_is_checked(spark, monkeypatch):
         learning.skip_gram(df, "items")
 
 
+def test_skip_gram_keeps_the_model_off_the_driver(spark):
+    groups = [[f"{group}{i}" for i in range(8)] for group in "xyz"]
+    lists = [([*group[i:], *group[:i]],) for group in groups for i in range(8)] * 8 + [(None,), (["x0", None, "rare", "x1", None],)]
+    vectors = learning.skip_gram(spark.createDataFrame(lists, "items array<string>"), "items", partitions=3, iterations=4)
+    assert vectors.inputFiles()  # a table, not rows sent by the driver
+    found = {r["item"]: r["vector"] for r in vectors.collect()}
+    assert set(found) == {None, *(item for group in groups for item in group)}
+
+    def similar(a, b):
+        return sum(p * q for p, q in zip(found[a], found[b])) / math.dist(found[a], [0] * 48) / math.dist(found[b], [0] * 48)
+
+    for group in groups:
+        for item in group:
+            nearest_item = max((x for x in found if x not in (None, item)), key=lambda x: similar(item, x))
+            assert nearest_item in group
+
+
+def test_rounds_use_every_pair_once(spark):
+    lists = [[1, 2, 3, 2], [5], list(range(100, 130)), [7, 7], []]
+    tokens = spark.createDataFrame([(keys,) for keys in lists], "keys array<bigint>").coalesce(2)
+
+    def used(blocks):
+        pairs = Counter()
+        for turn in range(blocks):
+            for row in tokens.mapInArrow(learning._pairs(blocks, turn), learning.STATE).collect():
+                items, contexts = (memoryview(row[name]).cast("q").tolist() for name in ("keys", "vectors"))
+                assert {item % blocks for item in items} == {row["block"]}
+                assert {context % blocks for context in contexts} == {(row["block"] + turn) % blocks}
+                pairs.update(zip(items, contexts))
+        return pairs
+
+    whole = used(1)
+    assert used(4) == whole == used(7)
+    near = Counter((a, b) for keys in lists for i, a in enumerate(keys) for j, b in enumerate(keys) if 0 < abs(i - j) <= 5)
+    assert whole <= near and {(7, 7)} <= set(whole) and len(whole) > len(near) / 3
+    assert {(a, b) for a, b in near if a >= 100 and abs(a - b) == 1} <= set(whole)  # a window is 1 to 5 wide
+
+
 def test_forecast_follows_a_line(spark):
     days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(28)]
     rows = [("up", d, 10 + 2 * i) for i, d in enumerate(days)] + [("flat", days[0], 5)]
