@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.catalog import QUERIES
 from tidemark.functions.text import named_groups, page_text
 from tidemark.functions.times import whole_minutes
 from tidemark.functions.vectors import cosine, nearest
@@ -43,6 +44,22 @@ def test_skip_gram_keeps_the_model_off_the_driver(spark):
             assert nearest_item in group
 
 
+def test_vectors_with_metadata_are_not_sent_by_the_driver(spark, folder):
+    when = dt.datetime(2024, 1, 1)
+    lines = [(order, order % 3 + line, 1, line, 10.0, 1.0, 0.0, 0.0, "A", "O", when) for order in range(12) for line in range(3)]
+    schema = (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    )
+    spark.createDataFrame(lines, schema).write.parquet(f"{folder}/lineitem.parquet")
+    parts = [(i, f"part {i}", "b", "PROMO", 1, 1.0) for i in range(5)] * 2
+    schema = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    spark.createDataFrame(parts, schema).write.parquet(f"{folder}/part.parquet")
+    found = QUERIES["item_vectors_with_metadata"](spark, folder)
+    assert any("/model-" in path for path in found.inputFiles())
+    assert sorted(tuple(r) for r in found.collect()) == [(i, 48, n, f"part {i}", "b") for i, n in enumerate([4, 8, 12, 8, 4])]
+
+
 def test_rounds_use_every_pair_once(spark):
     lists = [[1, 2, 3, 2], [5], list(range(100, 130)), [7, 7], []]
     tokens = spark.createDataFrame([(keys,) for keys in lists], "keys array<bigint>").coalesce(2)
