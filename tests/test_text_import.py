@@ -4,7 +4,7 @@ import itertools
 
 import pytest
 
-from tidemark.sources import importer, schema_plan
+from tidemark.sources import importer, schema_plan, text_shapes
 from tidemark.sources.text_shapes import csv_columns, merge_types, merged
 
 
@@ -144,3 +144,35 @@ def test_formats_times_and_headers(spark, tmp_path):
         schema_plan.plan_table(spark, str(tmp_path), fmt="xml")
     with pytest.raises(FileNotFoundError):
         schema_plan.plan_table(spark, str(tmp_path), fmt="jsonl")
+
+
+@pytest.mark.parametrize("width", [3, 30])
+def test_code_of_a_text_scan_is_compiled(spark, width):
+    """The JVM compiles no method of more than 8000 bytes; run without, typing a value took about ten times as long."""
+    names = [f"c{i}" for i in range(width)]
+    schema = ", ".join(f"{name} string" for name in ["uri", *names, f"c{width}"])
+    rows = spark.createDataFrame([("f", *["1"] * width, None)], schema)
+    typed = text_shapes._kinds(rows, names, True)
+    assert [c["type"] for c in typed.first()["columns"]] == ["int"] * width
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan is then known before it runs
+    try:
+        plan = typed.select("*")._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    methods = getattr(debug, "MODULE$").codegenStringSeq(plan)
+    sizes = [methods.apply(i)._3().maxMethodCodeSize() for i in range(methods.size())]
+    assert len(sizes) == 3 and max(sizes[:2]) < 8000  # the last stage only sees a row for each file
+
+
+def test_rows_that_do_not_fit_are_found_without_types(spark, tmp_path):
+    for name, row in (("fits", "1,2"), ("long", "1,2,3"), ("short", "1")):
+        put(tmp_path, f"{name}.csv", f"a,b\n5,6\n{row}\n")
+    for typed in (True, False):
+        rows = schema_plan.shapes(schema_plan.listed(spark, str(tmp_path), "csv"), "csv", typed).collect()
+        found = {(r["path"].rsplit("/")[-1], r["column"], r["type"], r["error"]) for r in rows}
+        kind = "int" if typed else "string"
+        error = "1 rows do not fit the header"
+        assert found == {
+            ("fits.csv", "a", kind, None), ("fits.csv", "b", kind, None), ("long.csv", None, None, error), ("short.csv", None, None, error),
+        }

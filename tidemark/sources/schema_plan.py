@@ -240,12 +240,15 @@ def listed(spark: SparkSession, patterns: str | Sequence[str], fmt: str) -> Data
     return list_files(spark, patterns, SUFFIXES[fmt])
 
 
-def shapes(files: DataFrame, fmt: str) -> DataFrame:
-    """Columns and types of files, as `footers` gives them. A JSON-lines file without rows has none and does not appear."""
+def shapes(files: DataFrame, fmt: str, typed: bool = True) -> DataFrame:
+    """Columns and types of files, as `footers` gives them. A JSON-lines file without rows has none and does not appear.
+
+    CSV is read as text and then cast, so a reader that has been told the types can leave them out with `typed`.
+    """
     if fmt == "parquet":
         return footers(_spread(files))
     files = written(files.select("path", "length"), "listing")
-    found = csv_shapes(files) if fmt == "csv" else jsonl_shapes(files)
+    found = csv_shapes(files, typed) if fmt == "csv" else jsonl_shapes(files)
     return files.join(found, "path").select("path", "length", "position", "column", "type", "error")
 
 
@@ -365,7 +368,7 @@ def read_files_as(
 
     An unreadable file is an error unless `continue_on_error`, which warns and reads the others.
     """
-    footer = written(shapes(listed(spark, patterns, fmt), fmt), "footers")  # sorted below: read each footer once
+    footer = written(shapes(listed(spark, patterns, fmt), fmt, typed=False), "footers")  # sorted below: read each footer once
     check_readable(footer, continue_on_error)
     empty = spark.createDataFrame([], plan.schema())
     return reduce(DataFrame.unionByName, read_planned(spark, file_loads(footer), plan, best_effort, fmt=fmt), empty)

@@ -35,13 +35,14 @@ _PATTERNS = {
     "timestamp_ntz": r"^\d{4}-\d\d-\d\d([T ]\d\d:\d\d:\d\d(\.\d{1,6})?)?$",
     "timestamp": r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d(\.\d{1,6})?(Z|[+-]\d\d:?\d\d)$",
 }
+_BITS = ("boolean", "int", "bigint", "integer", "double", "date", "timestamp_ntz", "timestamp")
 _NUMBERS = ("int", "bigint", "decimal", "double")
 _TIMES = ("date", "timestamp_ntz")
 
 
-def file_path() -> Column:
+def file_path(uri: str = "_metadata.file_path") -> Column:
     """The path of a row's file as listings give it."""
-    return F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
 def merged(one: str, two: str) -> str | None:
@@ -69,23 +70,45 @@ def merge_types(found: Sequence[str]) -> str | None:
     return "string" if out == "void" else out
 
 
-def text_type(value: Column) -> Column:
-    """The type of a group's text values, as an aggregate."""
-    filled = value.isNotNull()
-    every = lambda what: F.every(F.when(filled, F.coalesce(what, F.lit(False))))
+def text_code(value: Column) -> Column:
+    """The types that hold a text value as bits, in the order of `_BITS`, and above them the digits of a whole number."""
     looks = {kind: value.rlike(pattern) for kind, pattern in _PATTERNS.items()}
-    digits = F.max(F.when(filled, F.length(F.regexp_replace(value, r"^[+-]", ""))))
-    whole = every(looks["integer"])
+
+    def bits(*kinds: str) -> int:
+        return sum(1 << _BITS.index(kind) for kind in kinds)
+
+    def fits(kind: str, where: str = "") -> Column:
+        return F.when(value.try_cast(kind).isNotNull(), bits(where or kind)).otherwise(0)
+
+    digits = F.length(value) - F.when(value.startswith("+") | value.startswith("-"), 1).otherwise(0)
+    width = F.when(value.try_cast("int").isNotNull(), bits("int", "bigint")).otherwise(fits("bigint"))
+    # a whole number looks like a double too, and a date like a time; otherwise a value looks like one kind at most
+    code = (
+        F.when(looks["integer"], F.lit(bits("integer", "double")) + width + digits * (1 << len(_BITS)))
+        .when(looks["double"], bits("double"))
+        .when(looks["boolean"], bits("boolean"))
+        .when(looks["date"], fits("date") + fits("timestamp_ntz"))
+        .when(looks["timestamp_ntz"], fits("timestamp_ntz"))
+        .when(looks["timestamp"], fits("timestamp"))
+        .otherwise(0)
+    )
+    return F.when(value.isNotNull(), code.cast("bigint"))
+
+
+def text_type(code: Column) -> Column:
+    """The narrowest type of a group's text values from their codes, as an aggregate."""
+    shared, digits = F.bit_and(code), F.max(F.shiftright(code, len(_BITS)))
+    every = {kind: shared.bitwiseAND(1 << i) > 0 for i, kind in enumerate(_BITS)}
     return (
-        F.when(F.count(value) == 0, "void")
-        .when(every(looks["boolean"]), "boolean")
-        .when(whole & every(value.try_cast("int").isNotNull()), "int")
-        .when(whole & every(value.try_cast("bigint").isNotNull()), "bigint")
-        .when(whole & (digits <= 38), F.concat(F.lit("decimal("), digits.cast("string"), F.lit(",0)")))
-        .when(every(looks["double"]), "double")
-        .when(every(looks["date"] & value.try_cast("date").isNotNull()), "date")
-        .when(every(looks["timestamp_ntz"] & value.try_cast("timestamp_ntz").isNotNull()), "timestamp_ntz")
-        .when(every(looks["timestamp"] & value.try_cast("timestamp").isNotNull()), "timestamp")
+        F.when(shared.isNull(), "void")
+        .when(every["boolean"], "boolean")
+        .when(every["int"], "int")
+        .when(every["bigint"], "bigint")
+        .when(every["integer"] & (digits <= 38), F.concat(F.lit("decimal("), digits.cast("string"), F.lit(",0)")))
+        .when(every["double"], "double")
+        .when(every["date"], "date")
+        .when(every["timestamp_ntz"], "timestamp_ntz")
+        .when(every["timestamp"], "timestamp")
         .otherwise("string")
     )
 
@@ -130,8 +153,10 @@ def _headers(files: DataFrame) -> Iterator[tuple[str, list[str]]]:
     for paths in _some_paths(files):
         lines = spark.read.text(paths)
         # the first line is in the first block, whatever else that holds
-        first = lines.select(file_path().alias("path"), "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_block_start").alias("block"))
-        first = first.filter("block = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
+        first = lines.select(F.col("_metadata.file_path").alias("uri"), "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_block_start").alias("block"))
+        # two scans: the lowest number of each file, which no sort is needed for, then the lines of those numbers
+        lowest = written(first.filter("block = 0").groupBy("uri").agg(F.min("at").alias("at")).select("at"), "lowest")
+        first = first.join(F.broadcast(lowest), "at").select(file_path("uri").alias("path"), F.col("value").alias("header"))
         group: tuple[str, list[str]] | None = None
         for row in first.orderBy("header", "path").toLocalIterator():
             header = row["header"].lstrip("﻿")
@@ -144,10 +169,10 @@ def _headers(files: DataFrame) -> Iterator[tuple[str, list[str]]]:
             yield group
 
 
-def csv_shapes(files: DataFrame) -> DataFrame:
+def csv_shapes(files: DataFrame, typed: bool = True) -> DataFrame:
     """Columns and types of CSV files with a header line; a row longer or shorter than that is an error of its file.
 
-    An empty file has neither and does not appear.
+    An empty file has neither and does not appear. Unless `typed` all columns are text, for readers that have been told the types.
     """
     spark = files.sparkSession
     found = [spark.createDataFrame([], ROW)]
@@ -159,14 +184,11 @@ def csv_shapes(files: DataFrame) -> DataFrame:
             continue
         rows = read_csv(spark, names, paths, BROKEN)
         # by place, as names may hold dots
-        rows = rows.select(file_path().alias("path"), *[F.col(f"`{n.replace('`', '``')}`").alias(f"c{i}") for i, n in enumerate([*names, BROKEN])])
-        kinds = rows.groupBy("path").agg(
-            F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("column"), text_type(F.col(f"c{i}")).alias("type")) for i, n in enumerate(names)]).alias("columns"),
-            F.count(f"c{len(names)}").alias("broken"),
-        )
+        rows = rows.select(F.col("_metadata.file_path").alias("uri"), *[F.col(f"`{n.replace('`', '``')}`").alias(f"c{i}") for i, n in enumerate([*names, BROKEN])])
+        kinds = _kinds(rows, names, typed).withColumn("path", file_path("uri"))
         bare = spark.createDataFrame([(p,) for p in paths], "path string")  # a header alone has columns too
         kinds = bare.join(written(kinds, "kinds"), "path", "left")  # one reading of the files, all columns at once
-        empty = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("column"), F.lit("void").alias("type")) for i, n in enumerate(names)])
+        empty = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("column"), F.lit("void" if typed else "string").alias("type")) for i, n in enumerate(names)])
         fine = kinds.filter("coalesce(broken, 0) = 0").select("path", F.inline(F.coalesce("columns", empty)))
         found.append(fine.withColumn("error", F.lit(None).cast("string")))
         bad = kinds.filter("broken > 0").select("path", F.concat(F.col("broken").cast("string"), F.lit(" rows do not fit the header")).alias("error"))
@@ -174,6 +196,23 @@ def csv_shapes(files: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def _kinds(rows: DataFrame, names: Sequence[str], typed: bool) -> DataFrame:
+    """The columns of each file (`uri`) of one header with their types, and its `broken` rows, from its values `c0`, `c1` and so on.
+
+    The types of a row's values come from one function over an array, whose code is as small for many columns as for one: spelled out
+    for each column it filled a method beyond 8 KB, which the JVM does not compile.
+    """
+    values, broken = [f"c{i}" for i in range(len(names))], F.col(f"c{len(names)}")
+    if typed:
+        coded = rows.select("uri", F.transform(F.array(*values), lambda value: text_code(value)).alias("codes"), broken.alias("broken"))
+        kind, more = [text_type(F.get("codes", F.lit(i))) for i in range(len(names))], []
+    else:  # counted, so that rows are read in full: broken ones are not found in part of their values
+        coded = rows.select("uri", *values, broken.alias("broken"))
+        kind, more = [F.lit("string")] * len(names), [F.array(*[F.count(value) for value in values]).alias("filled")]
+    columns = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("column"), kind[i].alias("type")) for i, n in enumerate(names)])
+    return coded.groupBy("uri").agg(columns.alias("columns"), F.count("broken").alias("broken"), *more)
+
+
 def jsonl_shapes(files: DataFrame) -> DataFrame:
     """Columns and types of files of one JSON object per line; columns in the order of their names.
 
